@@ -36,6 +36,15 @@ def pick_weighted(options: list, weights: list[float], *keys: Column | str, seed
     return F.lit(options[-1]) if choice is None else choice.otherwise(F.lit(options[-1]))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` applied to a value that is computed once.
+
+    Inside a lambda, an outer expression is evaluated again for every element; a
+    bound lambda variable is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def squeeze(text: Column) -> Column:
     """Runs of white space become one space; ends are trimmed."""
     return F.trim(F.regexp_replace(text, r"[ \t\n\r\f\x0B]+", " "))

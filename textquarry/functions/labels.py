@@ -49,9 +49,14 @@ def prompt_level(instruction: Column, levels: list[tuple[str, str]] | None = Non
     return _first_match(tests, F.lit("unknown"))
 
 
+def fixed_point(value: Column, digits: int) -> Column:
+    """Text with ``digits`` decimals, rounded on the exact binary value as C's printf does."""
+    return F.translate(F.format_number(value, digits), ",", "")
+
+
 def rounded_quality(score: Column, step: float = 0.05) -> Column:
     """The score rounded half-even to a multiple of ``step``, as text with two decimals."""
-    return F.format_string("%.2f", F.bround(F.coalesce(score, F.lit(0.0)) / step) * step)
+    return fixed_point(F.bround(F.coalesce(score, F.lit(0.0)) / step) * step, 2)
 
 
 def expected_score(label_probs: Column) -> Column:
@@ -101,13 +106,15 @@ def web_label(name: Column) -> Column:
 
 
 # Thresholds and units of token counts in reports.
-TOKEN_UNITS = [(1e12, "%.2f T"), (1e9, "%.1f B"), (1e6, "%.1f M"), (1e3, "%.1f K")]
+TOKEN_UNITS = [(1e12, 2, " T"), (1e9, 1, " B"), (1e6, 1, " M"), (1e3, 1, " K")]
 
 
 def format_tokens(tokens: Column) -> Column:
     amount = tokens.cast("double")
-    tests = [(amount >= unit, F.format_string(fmt, amount / unit)) for unit, fmt in TOKEN_UNITS]
-    tests.append((amount > 0, F.format_string("%.1f", amount)))
+    tests = [
+        (amount >= unit, F.concat(fixed_point(amount / unit, digits), F.lit(sign))) for unit, digits, sign in TOKEN_UNITS
+    ]
+    tests.append((amount > 0, fixed_point(amount, 1)))
     return _first_match(tests, F.lit(""))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textquarry.functions.hashing import pick, squeeze, uniform
+from textquarry.functions.hashing import let, squeeze, uniform
 
 SPACE = r"[ \t\n\r\f\x0B]+"
 NONSPACE = r"[^ \t\n\r\f\x0B]+"
@@ -90,6 +90,7 @@ def language_pair(doc_id: Column, collection: str = "europarl") -> Column:
 
 
 def remove_patterns(text: Column, patterns: list[str]) -> Column:
+    """Delete every match. Anchor line patterns with ``(?md)^``: unanchored ones retry at each character."""
     for pattern in patterns:
         text = F.regexp_replace(text, pattern, "")
     return text
@@ -97,7 +98,7 @@ def remove_patterns(text: Column, patterns: list[str]) -> Column:
 
 # Archive mention lines, and the licence tail of public-domain books.
 BOOK_NOISE = [
-    r"[^\n]*http://gallica\.bnf\.fr[^\n]*\n",
+    r"(?md)^[^\n]*http://gallica\.bnf\.fr[^\n]*\n",
     r"(?s)\n\n            \*\*\* END OF THE PROJECT GUTENBERG EBOOK.*",
 ]
 
@@ -303,20 +304,24 @@ def escape_cell(cell: Column) -> Column:
 
 def table_to_markdown(cells: Column) -> Column:
     """2-D cells to a Markdown table; rows are padded or cut to the header width."""
-    header = F.transform(cells[0], escape_cell)
-    width = F.size(header)
-
     def line(row: Column) -> Column:
         return F.concat(F.lit("| "), F.array_join(row, " | "), F.lit(" |"))
 
-    def fitted(row: Column) -> Column:
-        missing = F.array_repeat(F.lit(""), F.greatest(width - F.size(row), F.lit(0)))
-        return F.slice(F.concat(F.transform(row, escape_cell), missing), F.lit(1), width)
+    def render(c: Column) -> Column:
+        width = F.size(c[0])
+
+        def fitted(row: Column) -> Column:
+            missing = F.array_repeat(F.lit(""), F.greatest(width - F.size(row), F.lit(0)))
+            return F.slice(F.concat(F.transform(row, escape_cell), missing), F.lit(1), width)
+
+        body = F.transform(
+            F.slice(c, F.lit(2), F.greatest(F.size(c) - 1, F.lit(0))), lambda row: line(fitted(row))
+        )
+        rule = line(F.array_repeat(F.lit("---"), width))
+        return F.array_join(F.concat(F.array(line(F.transform(c[0], escape_cell)), rule), body), "\n")
 
-    body = F.transform(F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 1, F.lit(0))), lambda r: line(fitted(r)))
-    rule = line(F.array_repeat(F.lit("---"), width))
-    table = F.array_join(F.concat(F.array(line(header), rule), body), "\n")
-    return F.when((F.size(cells) > 0) & (F.size(cells[0]) > 0), table).otherwise("")
+    filled = (F.size(cells) > 0) & (F.size(F.get(cells, F.lit(0))) > 0)
+    return F.when(filled, let(cells, render)).otherwise("")
 
 
 def sentences(text: Column) -> Column:
@@ -326,19 +331,22 @@ def sentences(text: Column) -> Column:
 
 def segment_lengths(tokens: Column, delimiter: str) -> Column:
     """Lengths of the runs that start at each delimiter (cut *before* the delimiter)."""
-    n = F.size(tokens)
-    starts = F.filter(
-        F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.get(tokens, (i - 1).cast("int")) == delimiter)
-    )
-    ends = F.concat(F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0))), F.array(n + 1))
-    return F.when(n > 0, F.zip_with(starts, ends, lambda s, e: (e - s).cast("int"))).otherwise(
-        F.array().cast("array<int>")
-    )
+    def cut(t: Column) -> Column:
+        at = F.filter(
+            F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (F.get(t, i) == delimiter)
+        )
+        return let(
+            F.concat(at, F.array(F.size(t))),
+            lambda edges: F.zip_with(
+                F.slice(edges, F.lit(2), F.size(edges) - 1),
+                F.slice(edges, F.lit(1), F.size(edges) - 1),
+                lambda end, start: (end - start).cast("int"),
+            ),
+        )
+
+    return F.when(F.size(tokens) > 0, let(tokens, cut)).otherwise(F.array().cast("array<int>"))
 
 
 def geometric_break(*keys: Column | str, p: float = 1 / 3, seed: int | str = 42) -> Column:
     """True where a chunk ends after this row; chunk lengths are geometric with mean 1/p."""
     return uniform(*keys, seed=seed) < p
-
-
-__all__ = [name for name in dir() if not name.startswith("_")] + ["pick"]
