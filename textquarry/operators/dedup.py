@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.functions.hashing import content_hash
+from textquarry.operators.skew import lookup_by_frequency
 
 
 def dedup_normalized(
@@ -39,13 +40,13 @@ def dedup_report(df: DataFrame, text: str = "text", source: str = "source", grou
 def with_cluster_size(df: DataFrame, name: str = "cluster_size", text: str = "text") -> DataFrame:
     """Add the number of exact copies of each text.
 
-    Counts are partial aggregates over 16-byte hashes. Only texts with copies are
-    joined back; a missing match is a cluster of one. Adaptive execution splits a
-    hot hash on the document side, because the count side is unique.
+    Counts are partial aggregates over hashes. Only texts with copies are looked
+    up; a missing match is a cluster of one. The most frequent texts come from a
+    small broadcast list, so their copies stay where they are.
     """
     keyed = df.withColumn("_hash", content_hash(F.col(text)))
     sizes = keyed.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1")
-    joined = keyed.join(sizes, "_hash", "left")
+    joined = lookup_by_frequency(keyed, sizes, "_hash", "_n")
     return joined.select(*df.columns, F.coalesce("_n", F.lit(1)).cast("bigint").alias(name))
 
 

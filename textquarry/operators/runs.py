@@ -17,8 +17,8 @@ def step_stats(
     A run with no more steps than the warm-up uses all of them. The total counts
     every step.
     """
-    steps = logs.where("step_seconds IS NOT NULL").select(run, *order, "iteration" if "iteration" not in order else run, "step_seconds")
-    steps = steps.select(*dict.fromkeys(steps.columns))
+    columns = dict.fromkeys([run, *order, "iteration", "step_seconds"])
+    steps = logs.where("step_seconds IS NOT NULL").select(*columns)
     ranked = numbered(steps, list(order), "_n", partition=[run], rows_per_range=rows_per_range)
     late = F.when(F.col("_n") > warmup, F.col("step_seconds"))
     timing = ranked.groupBy(run).agg(
