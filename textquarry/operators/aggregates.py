@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textquarry.functions.text import n_words
 
@@ -109,12 +110,12 @@ SCRIPT_RANGES = [
 CODE_CHARS = "0123456789(){}[];,.:+-*/%=<>&|^!~#@?_\\'\"` \t\n"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _category(chars: pd.Series) -> pd.Series:
     return chars.map(unicodedata.category)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _is_nfc(chars: pd.Series) -> pd.Series:
     return chars.map(lambda c: unicodedata.normalize("NFC", c) == c)
 

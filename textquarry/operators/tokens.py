@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textquarry.functions.text import PRETOKEN, pretokens, words
 
@@ -36,7 +37,7 @@ def arrow_encoder(load: Callable[[], Callable[[str], list[int]]]) -> Callable[[C
     """A tokenizer library as an Arrow-batched column function; loaded once per Python worker."""
     cache: dict[str, Callable] = {}
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pd.Series) -> pd.Series:
         if "f" not in cache:
             cache["f"] = load()
@@ -45,7 +46,7 @@ def arrow_encoder(load: Callable[[], Callable[[str], list[int]]]) -> Callable[[C
     return encode
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda s: None if s is None else unicodedata.normalize("NFC", s))
 
@@ -53,10 +54,11 @@ def _nfc(texts: pd.Series) -> pd.Series:
 def clean_unicode(df: DataFrame, text: str = "text") -> DataFrame:
     """Canonical composition (NFC), without carriage returns and NUL characters.
 
-    Texts of plain ASCII are already composed and skip the Python worker.
+    Texts of plain ASCII are composed as they are: the worker gets NULL for them.
     """
     bare = F.translate(F.col(text), "\r\u0000", "")
-    return df.withColumn(text, _nfc(bare))
+    plain = F.octet_length(bare) == F.length(bare)
+    return df.withColumn(text, F.coalesce(_nfc(F.when(~plain, bare)), bare))
 
 
 def fit_template(

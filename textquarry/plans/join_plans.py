@@ -78,8 +78,8 @@ _NGRAM_SQL = """string_split(trim(regexp_replace(regexp_replace(lower({}), '[^\\
 
 def _contaminated_sql(n: int) -> str:
     def grams(table, key, text):
-        return f"""SELECT {key} AS k, list_aggregate(w[i:i + {n - 1}], 'string_agg', ' ') AS g FROM
-                   (SELECT {key}, w, unnest(range(1, len(w) - {n} + 2)) AS i FROM (SELECT {key}, {_NGRAM_SQL.format(text)} AS w FROM {table}))"""
+        cut = f"list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i + {n - 1}], ' '))"
+        return f"SELECT {key} AS k, unnest({cut}) AS g FROM (SELECT {key}, {_NGRAM_SQL.format(text)} AS w FROM {table})"
 
     return f"""SELECT DISTINCT d.k FROM ({grams('documents', 'doc_id', 'text')}) d
                WHERE d.g IN (SELECT g FROM ({grams('benchmark', 'item_id', 'text')}))"""

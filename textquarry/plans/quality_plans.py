@@ -1 +1,73 @@
-"""Placeholder."""
+"""Quality models over documents and labels."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from textquarry.functions.labels import expected_score
+from textquarry.operators import quality as X
+from textquarry.plans.registry import query
+
+
+def labelled(t):
+    return t.documents.join(t.labels, "doc_id")
+
+
+@query("classifier_scores", "M1 M2")
+def classifier_scores(t):
+    model = X.train_classifier(labelled(t), "quality", features=1 << 14, iterations=8)
+    scored = X.score_classifier(t.documents, model)
+    return scored.select("doc_id", F.round(expected_score(F.col("label_probs")), 4).alias("edu_score_mean"))
+
+
+@query("classifier_keep", "M1 M2")
+def classifier_keep(t):
+    model = X.train_classifier(labelled(t), "toxic", features=1 << 14, iterations=8)
+    return X.drop_zero_class(X.score_classifier(t.documents, model)).select("doc_id")
+
+
+@query(
+    "classifier_input", "M1",
+    """SELECT doc_id, '__label__' || lower(replace(quality::VARCHAR, ' ', '_')) AS label, md5(replace(substr(text, 1, 2000), chr(10), ' ')) AS digest FROM documents JOIN labels USING (doc_id)""",
+)
+def classifier_input(t):
+    return labelled(t).select("doc_id", X.label_slug(F.col("quality")).alias("label"), F.md5(X.classifier_text(F.col("text"))).alias("digest"))
+
+
+@query("language_filter", "F5 M5")
+def language_filter(t):
+    model = X.train_language_model(t.documents)
+    found = X.identify_language(t.documents, model)
+    return X.filter_language(found, ["fr", "de", "es"], 0.5).select("doc_id", "lang", "language_id")
+
+
+_PAIRS_SQL = """w AS (SELECT doc_id, lang, list_concat(list_concat(['<s>'], regexp_extract_all(lower(text), '[^ \\t\\n\\r\\f\\x0B]+')), ['</s>']) AS w FROM documents),
+    p AS (SELECT doc_id, lang, w1, w1 || ' ' || w2 AS pair FROM (SELECT doc_id, lang, unnest(w[1:len(w) - 1]) AS w1, unnest(w[2:len(w)]) AS w2 FROM w)),
+    n AS (SELECT lang, pair, w1, count(*) AS n FROM p GROUP BY ALL), l AS (SELECT lang, w1, sum(n) AS l FROM n GROUP BY ALL), v AS (SELECT lang, count(*) AS v FROM l GROUP BY lang),
+    q AS MATERIALIZED (SELECT n.lang, n.pair, ln((n.n + 0.1::DOUBLE) / (l.l + 0.1::DOUBLE * v.v)) AS lp FROM n JOIN l ON l.lang = n.lang AND l.w1 = n.w1 JOIN v ON v.lang = n.lang),
+    s AS (SELECT p.doc_id, exp(-avg(lp)) AS ppl FROM p JOIN q ON p.lang = q.lang AND p.pair = q.pair GROUP BY p.doc_id)"""
+
+
+@query("perplexity", "M3", f"WITH {_PAIRS_SQL} SELECT doc_id, round(ppl, 3) AS perplexity FROM s")
+def perplexity(t):
+    scores = X.perplexity(t.documents, X.train_bigrams(t.documents))
+    return scores.select("doc_id", F.round("perplexity", 3).alias("perplexity"))
+
+
+@query("filter_perplexity", "M3", f"WITH {_PAIRS_SQL} SELECT doc_id FROM s WHERE ppl BETWEEN 10 AND 2000")
+def filter_perplexity(t):
+    return X.filter_perplexity(t.documents, X.perplexity(t.documents, X.train_bigrams(t.documents))).select("doc_id")
+
+
+@query(
+    "duplicate_lines", "M4",
+    """WITH l AS (SELECT doc_id, list_filter(string_split(trim(text), chr(10)), lambda x: x <> '') AS l FROM documents)
+       SELECT doc_id, round(CASE WHEN len(l) > 0 THEN (len(l) - len(list_distinct(l)))::DOUBLE / len(l) ELSE 0 END, 6) AS share FROM l""",
+)
+def duplicate_lines(t):
+    return t.documents.select("doc_id", F.round(X.duplicate_line_share(F.col("text")), 6).alias("share"))
+
+
+@query("repetition_reasons", "M4")
+def repetition_reasons(t):
+    return X.tag_repetition(t.documents).select("doc_id", "drop_reason")
