@@ -51,11 +51,12 @@ def phone_pattern(regions: list[str]) -> str:
 
 
 def mask_email(text: Column) -> Column:
-    return F.regexp_replace(text, EMAIL, EMAIL_MARK)
+    # Most texts have no @ at all and need no pattern.
+    return F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, EMAIL, EMAIL_MARK)).otherwise(text)
 
 
 def mask_ip(text: Column, mark: str = IP_MARK) -> Column:
-    return F.regexp_replace(text, IPV4, f"$1{mark}$2")
+    return F.when(text.rlike(r"[0-9]\.[0-9]"), F.regexp_replace(text, IPV4, f"$1{mark}$2")).otherwise(text)
 
 
 def mask_phones(text: Column, language: Column) -> Column:
@@ -72,7 +73,8 @@ def mask_phones(text: Column, language: Column) -> Column:
         by_regions.items(),
         None,
     )
-    return branches.otherwise(masked(DEFAULT_REGIONS))
+    found = branches.otherwise(masked(DEFAULT_REGIONS))
+    return F.when(text.rlike("[0-9]"), found).otherwise(text)
 
 
 def mask_pii(df: DataFrame, text: str = "text", remove_ips: bool = True, ip_mark: str = IP_MARK) -> DataFrame:

@@ -134,15 +134,11 @@ def script_family(char: Column) -> Column:
 def char_alphabet(df: DataFrame, text: str = "text") -> DataFrame:
     """How often each character occurs, with code point, Unicode category and script family.
 
-    Characters are counted inside each document first, so a document sends a few
-    dozen pairs to the aggregate instead of all its characters.
+    The characters of a batch meet in the map-side aggregate, so each task sends one
+    row per distinct character.
     """
-    c = F.col(text)
-    per_doc = F.transform(
-        F.array_distinct(F.filter(F.split(c, ""), lambda x: x != "")),
-        lambda x: F.struct(x.alias("char"), (F.length(c) - F.length(F.replace(c, x, F.lit("")))).cast("bigint").alias("n")),
-    )
-    counts = df.select(F.explode(per_doc).alias("e")).groupBy("e.char").agg(F.sum("e.n").alias("count"))
+    chars = df.select(F.explode(F.split(F.col(text), "")).alias("char")).where("char <> ''")
+    counts = chars.groupBy("char").agg(F.count("*").alias("count"))
     return counts.select(
         "char", "count", F.ascii("char").alias("ord"), _category("char").alias("category"), script_family(F.col("char")).alias("family")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.functions.hashing import content_hash
+from textquarry.operators.filters import first_per_key
 from textquarry.operators.skew import lookup_by_frequency
 
 
@@ -26,6 +27,11 @@ def dedup_normalized(
     return df.join(winners, order, "left_semi")
 
 
+def first_of_copies(df: DataFrame, order: list[str], hash_column: str = "content_hash") -> DataFrame:
+    """First row per content hash, for tables that are narrow by now: one pass, no join."""
+    return first_per_key(df, [hash_column], order)
+
+
 def dedup_report(df: DataFrame, text: str = "text", source: str = "source", group: list[str] | None = None) -> DataFrame:
     """Rows, distinct texts and number of sources per group."""
     group = group or []

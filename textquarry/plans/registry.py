@@ -8,6 +8,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textquarry.sources.readers import spread
+
+# Tables whose rows take long to work on.
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
 PLAN_MODULES = [
     "source_plans",
     "sink_plans",
@@ -47,7 +52,8 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return spread(df) if table in TEXT_TABLES else df
 
 
 def query(name: str, ids: str, sql: str | None = None):

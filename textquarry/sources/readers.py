@@ -62,6 +62,16 @@ def read_parquet(
     return df.limit(limit) if limit else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for a scan that comes in fewer splits than there are cores.
+
+    A file with one row group is one split. Before row-wise work on texts the rows
+    are dealt out; a large input has more splits than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_json(
     spark: SparkSession, path: str, schema: str, text_key: str = "text", defaults: dict[str, str] | None = None
 ) -> DataFrame:
