@@ -21,6 +21,13 @@ from textquarry.functions.text import words
 from textquarry.operators.skew import lookup_by_frequency
 
 
+# Names that cannot meet a column of the caller.
+_ML_COLUMNS = {
+    "featuresCol": "_features", "labelCol": "_label", "predictionCol": "_prediction",
+    "probabilityCol": "_probability", "rawPredictionCol": "_raw",
+}
+
+
 def classifier_text(text: Column, chars: int = 2000) -> Column:
     """What the classifier reads: the first characters on one line. The length is part of the model."""
     return F.replace(F.substring(text, 1, chars), F.lit("\n"), F.lit(" "))
@@ -52,11 +59,11 @@ def train_classifier(
     df: DataFrame, label: str, text: str = "text", ngrams: int = 2, features: int = 1 << 16, iterations: int = 20
 ) -> PipelineModel:
     """Logistic regression over hashed word n-grams; rows without a label are left out."""
-    prepared = _classifier_input(df.dropna(subset=[label]), text, ngrams).withColumn("label_name", label_slug(F.col(label)))
+    prepared = _classifier_input(df.dropna(subset=[label]), text, ngrams).withColumn("_name", label_slug(F.col(label)))
     stages = [
-        StringIndexer(inputCol="label_name", outputCol="label", stringOrderType="alphabetAsc"),
-        HashingTF(inputCol="_grams", outputCol="features", numFeatures=features),
-        LogisticRegression(maxIter=iterations, regParam=1e-4, family="multinomial"),
+        StringIndexer(inputCol="_name", outputCol="_label", stringOrderType="alphabetAsc"),
+        HashingTF(inputCol="_grams", outputCol="_features", numFeatures=features),
+        LogisticRegression(maxIter=iterations, regParam=1e-4, family="multinomial", **_ML_COLUMNS),
     ]
     return Pipeline(stages=stages).fit(prepared)
 
@@ -72,7 +79,7 @@ def score_classifier(
     names = F.array(*[F.lit(x) for x in model.stages[0].labels])
     scoring = PipelineModel(model.stages[1:])
     scored = scoring.transform(_classifier_input(df, text, ngrams))
-    probs = F.map_from_arrays(names, vector_to_array("probability"))
+    probs = F.map_from_arrays(names, vector_to_array("_probability"))
     return scored.withColumn(into, probs).select(*df.columns, into)
 
 
@@ -114,10 +121,10 @@ def train_language_model(df: DataFrame, text: str = "text", lang: str = "lang",
     """Naive Bayes over character n-grams."""
     prepared = df.withColumn("_grams", char_ngrams(F.col(text)))
     stages = [
-        StringIndexer(inputCol=lang, outputCol="label", stringOrderType="alphabetAsc"),
+        StringIndexer(inputCol=lang, outputCol="_label", stringOrderType="alphabetAsc"),
         HashingTF(inputCol="_grams", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="features"),
-        NaiveBayes(modelType="multinomial"),
+        IDF(inputCol="_tf", outputCol="_features"),
+        NaiveBayes(modelType="multinomial", **_ML_COLUMNS),
     ]
     return Pipeline(stages=stages).fit(prepared)
 
@@ -126,7 +133,7 @@ def identify_language(df: DataFrame, model: PipelineModel, text: str = "text") -
     """Add the most probable language and its probability."""
     names = F.array(*[F.lit(x) for x in model.stages[0].labels])
     scored = PipelineModel(model.stages[1:]).transform(df.withColumn("_grams", char_ngrams(F.col(text))))
-    probs = F.map_from_arrays(names, vector_to_array("probability"))
+    probs = F.map_from_arrays(names, vector_to_array("_probability"))
     best = top_label(probs)
     return scored.withColumn("_best", best).select(
         *df.columns, F.col("_best.label").alias("language_id"), F.col("_best.p").alias("language_score")
