@@ -55,7 +55,11 @@ def cost_rollup(df: DataFrame, by: str, amounts: list[str]) -> DataFrame:
 
 
 def observed_counts(df: DataFrame, tests: dict[str, Column], name: str = "counts") -> tuple[DataFrame, Observation]:
-    """Count rows by outcome while they pass, without a job of its own."""
+    """Count rows by outcome while they pass, without a job of its own.
+
+    Use a session apart from ML work: a session that has observed cannot ship ML
+    transformers any more.
+    """
     observation = Observation(name)
     counts = [F.count_if(test).alias(k) for k, test in tests.items()]
     return df.observe(observation, F.count(F.lit(1)).alias("total"), *counts), observation

@@ -13,7 +13,7 @@ from textquarry.operators.dedup import first_of_copies
 from textquarry.operators.filters import filter_min_words, url_host, url_path
 from textquarry.plans import sqlbits as S
 from textquarry.plans.filter_plans import _BUCKET
-from textquarry.plans.registry import query
+from textquarry.plans.registry import Tables, query
 from textquarry.plans.text_plans import sql_mask_phone, sql_mask_pii
 
 
@@ -258,7 +258,10 @@ def observed_counts(t):
     from textquarry.operators.runs import observed_counts as observed
 
     tests = {"converted": F.col("role") == "assistant", "skipped": F.col("role") != "assistant"}
-    counted, counts = observed(t.conversations, tests)
+    # A session of its own: once a session has observed something, ML transformers fail to
+    # serialize in it (they would ship the session's observation registry).
+    turns = Tables(t.spark.newSession(), t.folder).conversations
+    counted, counts = observed(turns, tests)
     counted.write.format("noop").mode("overwrite").save()
     got = counts.get
     return t.spark.range(1).select(*[F.lit(got[k]).cast("bigint").alias(k) for k in ("total", "converted", "skipped")])
