@@ -105,7 +105,7 @@ def test_lookup_by_frequency_with_a_hot_key(spark):
     left = spark.range(4000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
     right = left.groupBy("k").agg(F.count("*").alias("n")).where("k % 2 = 0")
     for hot in (1, 50, 10_000):
-        got = lookup_by_frequency(left, right, "k", "n", hot_keys=hot)
+        got = lookup_by_frequency(left, right, "k", "n", ["id"], hot_keys=hot)
         want = left.join(right, "k", "left").select("id", "k", "n")
         assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
 

@@ -21,9 +21,12 @@ def dedup_normalized(
     """
     group = group or []
     keyed = df.withColumn("_hash", content_hash(F.col(text)))
-    winners = keyed.groupBy("_hash", *group).agg(F.min(F.struct(*order)).alias("_win")).select(
-        *[F.col(f"_win.{c}").alias(c) for c in order]
-    )
+    if len(order) == 1:
+        # A plain minimum stays in the hash aggregate; a struct would be sorted.
+        winners = keyed.groupBy("_hash", *group).agg(F.min(order[0]).alias(order[0])).select(order[0])
+    else:
+        first = keyed.groupBy("_hash", *group).agg(F.min(F.struct(*order)).alias("_win"))
+        winners = first.select(*[F.col(f"_win.{c}").alias(c) for c in order])
     return df.join(winners, order, "left_semi")
 
 
@@ -43,16 +46,18 @@ def dedup_report(df: DataFrame, text: str = "text", source: str = "source", grou
     return texts.join(sources, group) if group else texts.join(F.broadcast(sources), F.lit(True))
 
 
-def with_cluster_size(df: DataFrame, name: str = "cluster_size", text: str = "text") -> DataFrame:
+def with_cluster_size(
+    df: DataFrame, name: str = "cluster_size", text: str = "text", key: str = "doc_id"
+) -> DataFrame:
     """Add the number of exact copies of each text.
 
     Counts are partial aggregates over hashes. Only texts with copies are looked
     up; a missing match is a cluster of one. The most frequent texts come from a
-    small broadcast list, so their copies stay where they are.
+    small broadcast list, so their copies do not gather; ``key`` tells rows apart.
     """
     keyed = df.withColumn("_hash", content_hash(F.col(text)))
     sizes = keyed.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1")
-    joined = lookup_by_frequency(keyed, sizes, "_hash", "_n")
+    joined = lookup_by_frequency(keyed, sizes, "_hash", "_n", [key], total=df.count())
     return joined.select(*df.columns, F.coalesce("_n", F.lit(1)).cast("bigint").alias(name))
 
 

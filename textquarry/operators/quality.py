@@ -191,7 +191,7 @@ def perplexity(
         .agg(F.count("*").alias("_m"))
         .withColumn("key", F.concat_ws("|", "_lang", "_pair"))
     )
-    met = lookup_by_frequency(per_doc, bigrams, "key", "n")
+    met = lookup_by_frequency(per_doc, bigrams, "key", "n", [key])
     logp = F.coalesce(F.log((F.col("n") + k) / (F.col("left") + k * F.col("vocab"))), F.lit(-13.815510557964274))
     return met.groupBy(key).agg(F.exp(-F.sum(F.col("_m") * logp) / F.sum("_m")).alias("perplexity"))
 

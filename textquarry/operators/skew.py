@@ -9,28 +9,37 @@ HOT_KEYS = 10_000
 
 
 def lookup_by_frequency(
-    left: DataFrame, right: DataFrame, key: str, frequency: str, hot_keys: int = HOT_KEYS
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    frequency: str,
+    spread_by: list[str],
+    total: int | None = None,
+    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """Left join with a table that is unique by ``key`` and knows how often each key occurs.
 
     A key is hot if it makes up more than one in ``hot_keys`` of all occurrences,
     so there are fewer than ``hot_keys`` of them, whatever the data: they are
-    broadcast. Rows they answer take part in the second, shuffled join under a
-    spread-out key that matches nothing; only rows of ordinary keys meet there.
+    broadcast. Rows they answer enter the second, shuffled join under a key of
+    their own, made from ``spread_by``, that matches nothing; only rows of ordinary
+    keys meet there. ``total`` is the number of occurrences if it is known.
     """
     columns = [c for c in right.columns if c != key]
-    total = right.agg(F.sum(frequency).alias("_total"))
-    marked = right.join(F.broadcast(total), F.lit(True)).withColumn("_hot", F.col(frequency) * hot_keys > F.col("_total"))
     packed = F.struct(*columns)
-    hot = marked.where("_hot").select(F.col(key).alias("_hk"), packed.alias("_hv"))
-    cold = marked.where("NOT _hot").select(F.col(key).alias("_ck"), F.lit(0).cast("bigint").alias("_cs"), packed.alias("_cv"))
+    if total is None:
+        # One row.
+        sums = right.agg(F.sum(frequency).alias("_total"))
+        marked = right.join(F.broadcast(sums), F.lit(True))
+    else:
+        marked = right.withColumn("_total", F.lit(total))
+    is_hot = F.col(frequency) * hot_keys > F.col("_total")
+    hot = marked.where(is_hot).select(F.col(key).alias("_hk"), packed.alias("_hv"))
+    cold = marked.where(~is_hot).select(F.concat(F.lit("="), F.col(key).cast("string")).alias("_ck"), packed.alias("_cv"))
 
     first = left.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
-    rest = [c for c in left.columns if c != key and left.schema[c].dataType.typeName() not in ("map", "variant")]
-    # Never 0 for an answered row.
-    spread = F.when(F.col("_hk").isNotNull(), F.abs(F.xxhash64(*rest)) % 1_000_003 + 1).otherwise(0).cast("bigint")
-    second = first.withColumn("_spread", spread).join(
-        cold, (F.col(key) == F.col("_ck")) & (F.col("_spread") == F.col("_cs")), "left"
-    )
+    own = F.concat(F.lit("#"), F.xxhash64(*spread_by).cast("string"))
+    joined_on = F.when(F.col("_hk").isNotNull(), own).otherwise(F.concat(F.lit("="), F.col(key).cast("string")))
+    second = first.withColumn("_jk", joined_on).join(cold, F.col("_jk") == F.col("_ck"), "left")
     values = [F.coalesce(F.col(f"_hv.{c}"), F.col(f"_cv.{c}")).alias(c) for c in columns]
     return second.select(*left.columns, *values)

@@ -60,7 +60,7 @@ def ablation_mix(t):
     from textquarry.functions.labels import cluster_bucket
     from textquarry.operators.dedup import with_cluster_size
 
-    sized = with_cluster_size(t.documents.select("lang", "text", "n_chars"), "n")
+    sized = with_cluster_size(t.documents.select("doc_id", "lang", "text", "n_chars"), "n")
     group = F.regexp_replace(cluster_bucket(F.col("n")), "^cluster_size-", "")
     stats = sized.groupBy("lang", group.alias("group_name")).agg(F.sum("n_chars").alias("total_tokens"))
     up = F.when(F.col("lang") == "en", 0.5).when(F.col("lang") == "es", 0.0).otherwise(2.0)
