@@ -297,9 +297,10 @@ def folder_sizes(df: DataFrame, path: str, size: str) -> DataFrame:
 def score_distribution(df: DataFrame, score: str, low: int = 1, high: int = 5) -> DataFrame:
     """Counts and shares of judge scores; scores nobody gave appear with 0."""
     counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("int").alias("score")).agg(F.count("*").alias("n"))
-    # One row: the counts of the few scores as a map, spread over the fixed scale.
+    # One row: the counts on the fixed scale as a map, spread over the scale again.
+    on_scale = F.when(F.col("score").between(low, high), F.struct("score", "n"))
     packed = counts.agg(
-        F.map_from_entries(F.collect_list(F.struct("score", "n"))).alias("m"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")
+        F.map_from_entries(F.collect_list(on_scale)).alias("m"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")
     )
     spread = packed.select("total", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("score"), "m")
     n = F.coalesce(F.try_element_at("m", F.col("score")), F.lit(0)).cast("bigint")

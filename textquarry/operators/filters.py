@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textquarry.functions.labels import step_number
 from textquarry.functions.text import n_words
 from textquarry.operators.reference_lists import KNOWN_URL_PREFIXES, expand_prefixes
+from textquarry.operators.skew import lookup_by_frequency
 
 
 def tag_rejects(df: DataFrame, keep: Column, reason: Column | str, into: str = "drop_reason") -> DataFrame:
@@ -81,16 +82,17 @@ def tag_robots(df: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     ``rules(host, path, allow, malformed)`` holds one row per rule. A malformed
     file allows everything, otherwise the longest rule that starts the page's
     path decides, and no such rule allows. A host without rules is dropped. The
-    rules of one host come from one small file and become one row per host, so
-    the join side is unique and a hot host can be split over many tasks.
+    rules of one host come from one small file and become one row per host. Hosts
+    with very many pages are looked up without gathering their pages.
     """
-    sites = rules.groupBy("host").agg(
+    sites = rules.groupBy(F.col("host").alias("_host")).agg(
         F.bool_or("malformed").alias("_malformed"),
         F.collect_list(F.struct(F.length("path").alias("n"), "allow", "path")).alias("_rules"),
     )
-    joined = df.withColumn("_host", url_host(F.col(url))).join(
-        sites.withColumnRenamed("host", "_site"), F.col("_host") == F.col("_site"), "left"
-    )
+    hosted = df.withColumn("_host", url_host(F.col(url)))
+    pages = hosted.groupBy("_host").agg(F.count("*").alias("_n"))
+    known = sites.join(pages, "_host").withColumn("_site", F.col("_host"))
+    joined = lookup_by_frequency(hosted, known, "_host", "_n", [url])
     path = url_path(F.col(url))
     matching = F.filter("_rules", lambda r: F.startswith(path, r["path"]))
     decided = F.array_max(F.transform(matching, lambda r: F.struct(r["n"], r["allow"])))
@@ -99,7 +101,7 @@ def tag_robots(df: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
         .when(F.col("_malformed"), F.lit(None).cast("string"))
         .when(~F.coalesce(decided["allow"], F.lit(True)), F.lit("robots:disallowed"))
     )
-    return joined.withColumn("drop_reason", reason).drop("_host", "_site", "_malformed", "_rules")
+    return joined.withColumn("drop_reason", reason).drop("_host", "_n", "_site", "_malformed", "_rules")
 
 
 def filter_robots(df: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
@@ -131,14 +133,18 @@ def filter_path_contains(df: DataFrame, column: str, parts: list[str]) -> DataFr
 
 
 def borrow_first_seen(df: DataFrame, key: str, columns: list[str], order: list[str]) -> DataFrame:
-    """Fill rows where all ``columns`` are missing from the key's first record."""
-    first = df.groupBy(F.col(key).alias("_key")).agg(
-        F.min_by(F.struct(*columns), F.struct(*order)).alias("_first")
+    """Fill rows where all ``columns`` are missing from the key's first record.
+
+    Rows without a key share one record. ``order`` must tell rows apart.
+    """
+    named = df.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("none")))
+    first = named.groupBy("_key").agg(
+        F.min_by(F.struct(*columns), F.struct(*order)).alias("_first"), F.count("*").alias("_n")
     )
     all_missing = F.lit(True)
     for c in columns:
         all_missing = all_missing & F.col(c).isNull()
-    joined = df.join(first, F.col(key).eqNullSafe(F.col("_key")), "left")
+    joined = lookup_by_frequency(named, first, "_key", "_n", order)
     return joined.select(
         *[
             F.when(all_missing, F.col(f"_first.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)

@@ -44,10 +44,10 @@ def sample_slice(t):
 
 @query(
     "sample_to_target", "SP4",
-    f"SELECT doc_id FROM documents WHERE {uniform('doc_id')} < 100000.0 / (SELECT sum({sql_words('text')}) FROM documents)",
+    f"SELECT doc_id FROM documents WHERE {uniform('doc_id')} < 50000.0 / (SELECT sum({sql_words('text')}) FROM documents)",
 )
 def sample_to_target(t):
-    rate = X.rate_for_target(t.documents, n_words(F.col("text")), 100_000)
+    rate = X.rate_for_target(t.documents, n_words(F.col("text")), 50_000)
     return X.sample_rate(t.documents, rate, "doc_id").select("doc_id")
 
 

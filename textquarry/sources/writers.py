@@ -54,8 +54,8 @@ def write_keep_reject(df: DataFrame, keep: Column, reason: Column | str, path: s
 
 
 def write_summary(df: DataFrame, path: str, kind: str = "csv") -> None:
-    """A report of a few rows as one file."""
-    writer = df.coalesce(1).write.mode("overwrite")
+    """A report of a few rows as one file; the work before it stays parallel."""
+    writer = df.repartition(1).write.mode("overwrite")
     writer.option("header", True).csv(path) if kind == "csv" else writer.json(path)
 
 
