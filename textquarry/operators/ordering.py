@@ -69,7 +69,12 @@ def range_number(df: DataFrame, keys: list[str], bounds: list[tuple]) -> Column:
 
 
 def split_ranges(df: DataFrame, keys: list[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Add ``_range``: consecutive numbers over consecutive slices of the key order."""
+    """Add ``_range``: consecutive numbers over consecutive slices of the key order.
+
+    A table that was cut before, for the same keys, is returned as it is.
+    """
+    if "_range" in df.columns:
+        return df
     rows = df.count()
     ranges = min(MAX_RANGES, math.ceil(rows / rows_per_range)) if rows else 1
     bounds = _bounds(df, keys, rows, ranges) if ranges > 1 else []

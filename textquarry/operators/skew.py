@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 10_000
 
 
+def _named(key: str) -> Column:
+    return F.concat(F.lit("="), F.col(key).cast("string"))
+
+
 def lookup_by_frequency(
     left: DataFrame,
     right: DataFrame,
@@ -34,12 +38,14 @@ def lookup_by_frequency(
     else:
         marked = right.withColumn("_total", F.lit(total))
     is_hot = F.col(frequency) * hot_keys > F.col("_total")
-    hot = marked.where(is_hot).select(F.col(key).alias("_hk"), packed.alias("_hv"))
-    cold = marked.where(~is_hot).select(F.concat(F.lit("="), F.col(key).cast("string")).alias("_ck"), packed.alias("_cv"))
+    # Never NULL, so no filter is inferred and both sides share one computation of ``right``.
+    named = marked.withColumn("_rk", F.coalesce(_named(key), F.lit("")))
+    hot = named.where(is_hot).select(F.col("_rk").alias("_hk"), packed.alias("_hv"))
+    cold = named.where(~is_hot).select(F.col("_rk").alias("_ck"), packed.alias("_cv"))
 
-    first = left.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
+    first = left.withColumn("_lk", _named(key)).join(F.broadcast(hot), F.col("_lk") == F.col("_hk"), "left")
     own = F.concat(F.lit("#"), F.xxhash64(*spread_by).cast("string"))
-    joined_on = F.when(F.col("_hk").isNotNull(), own).otherwise(F.concat(F.lit("="), F.col(key).cast("string")))
+    joined_on = F.when(F.col("_hk").isNotNull(), own).otherwise(F.col("_lk"))
     second = first.withColumn("_jk", joined_on).join(cold, F.col("_jk") == F.col("_ck"), "left")
     values = [F.coalesce(F.col(f"_hv.{c}"), F.col(f"_cv.{c}")).alias(c) for c in columns]
     return second.select(*left.columns, *values)

@@ -29,10 +29,11 @@ def run_ids(
     df: DataFrame, order: list[str], key: str, name: str = "run_id", rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Number the runs of adjacent rows with an equal key."""
-    seen = previous(df, order, {"_before": key}, rows_per_range)
+    cut = split_ranges(df, order, rows_per_range)
+    seen = previous(cut, order, {"_before": key}, rows_per_range)
     start = (~F.col("_before").eqNullSafe(F.col(key))).cast("bigint")
     numbered_runs = running(seen, order, {name: start}, rows_per_range=rows_per_range)
-    return numbered_runs.drop("_before")
+    return numbered_runs.drop("_before", "_range")
 
 
 def group_runs(

@@ -28,15 +28,15 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     ``spark.checkpoint.dir`` is read from the session. Only where it is unset
-    (tests, a laptop) a local temporary folder stands in and is remembered for
-    the life of the session.
+    (tests, a laptop) a local temporary folder stands in, and serves for the life of
+    the Spark context.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
