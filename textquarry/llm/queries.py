@@ -40,3 +40,19 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     from textquarry.llm.simhash import simhash_groups
 
     return simhash_groups(_table(spark, folder, "documents"))
+
+
+@_query
+def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    from textquarry.llm.secrets import find_secrets
+
+    return find_secrets(_table(spark, folder, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
+@_query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from textquarry.llm.language_id import identify
+
+    return identify(_table(spark, folder, "documents"))
