@@ -56,3 +56,10 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     from textquarry.llm.language_id import identify
 
     return identify(_table(spark, folder, "documents"))
+
+
+@_query
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from textquarry.llm.packing import pack_documents
+
+    return pack_documents(_table(spark, folder, "documents"))

@@ -8,39 +8,17 @@ sees more than one partition's rows or one row per partition.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from textquarry.llm.common import materialize, text_of
+from textquarry.llm.global_order import global_order
 
 ROW_BYTES = 8
 
 
-def _add_running_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part, bytes_before, rows_before = TaskContext.get().partitionId(), 0, 0
-    for batch in batches:
-        size = batch.column("size").to_numpy()
-        ends = bytes_before + np.cumsum(size)
-        yield pa.RecordBatch.from_arrays(
-            [
-                *batch.columns,
-                pa.array(np.full(len(size), part, np.int32)),
-                pa.array(ends - size),
-                pa.array(rows_before + np.arange(len(size), dtype=np.int64)),
-            ],
-            names=[*batch.schema.names, "_part", "_start", "_index"],
-        )
-        rows_before += len(size)
-        bytes_before = int(ends[-1]) if len(size) else bytes_before
-
-
 def assign_shards(
     docs: DataFrame,
     shards: int = 24,
@@ -58,8 +36,6 @@ def assign_shards(
     """
     if shards < 1:
         raise ValueError("shards must be positive")
-    spark = docs.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = text_of(text_col)
     columns = [
         F.col(id_col).alias("doc_id"),
@@ -71,35 +47,9 @@ def assign_shards(
         columns.append(F.struct(*carry).alias("doc"))
     sized = materialize(docs.select(*columns), "shard-sizes")
     order = ["doc_id", "size", "text_crc32", "_tie"]
-    schema = T.StructType(
-        sized.schema.fields
-        + [
-            T.StructField("_part", T.IntegerType()),
-            T.StructField("_start", T.LongType()),
-            T.StructField("_index", T.LongType()),
-        ]
-    )
-    ordered = sized.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    # Written once: a partition's number and its running sums come from one attempt.
-    summed = materialize(ordered.mapInArrow(_add_running_sums, schema), "shard-sums")
-
-    # One row per partition.
-    totals = summed.groupBy("_part").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_rows"))
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_part",
-        F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_byte_offset"),
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row_offset"),
-        F.sum("_bytes").over(W.partitionBy(F.lit(1))).alias("_total"),
-    )
-    twice_middle = (F.col("_byte_offset") + F.col("_start")) * 2 + F.col("size")
-    placed = summed.join(F.broadcast(offsets), "_part").withColumns(
-        {
-            "shard": F.floor(
-                twice_middle.cast("decimal(38,0)") * shards / (F.col("_total") * 2)
-            ).cast("int"),
-            "_row": F.col("_row_offset") + F.col("_index"),
-        }
+    twice_middle = (F.col("_before") * 2 + F.col("size")).cast("decimal(38,0)")
+    placed = global_order(sized, order, "size", partitions).withColumn(
+        "shard", F.floor(twice_middle * shards / (F.col("_total") * 2)).cast("int")
     )
     # One row per shard.
     firsts = placed.groupBy("shard").agg(F.min("_row").alias("_first"))
