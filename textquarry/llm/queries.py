@@ -63,3 +63,20 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     from textquarry.llm.packing import pack_documents
 
     return pack_documents(_table(spark, folder, "documents"))
+
+
+@_query
+def op3_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    from textquarry.llm.outliers import judge_quality
+
+    return judge_quality(_table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "d2",
+    )
