@@ -80,3 +80,10 @@ def op3_outliers(spark: SparkSession, folder: str) -> DataFrame:
         "kept",
         "d2",
     )
+
+
+@_query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from textquarry.llm.toxicity import rate_toxicity
+
+    return rate_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
