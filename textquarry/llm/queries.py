@@ -87,3 +87,10 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     from textquarry.llm.toxicity import rate_toxicity
 
     return rate_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@_query
+def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    from textquarry.llm.repeats import remove_repeats
+
+    return remove_repeats(_table(spark, folder, "documents")).withColumnRenamed("kept", "kept_sha256")
