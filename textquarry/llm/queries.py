@@ -94,3 +94,10 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     from textquarry.llm.repeats import remove_repeats
 
     return remove_repeats(_table(spark, folder, "documents")).withColumnRenamed("kept", "kept_sha256")
+
+
+@_query
+def op5_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    from textquarry.llm.contamination import find_leaks
+
+    return find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
