@@ -101,3 +101,10 @@ def op5_contamination(spark: SparkSession, folder: str) -> DataFrame:
     from textquarry.llm.contamination import find_leaks
 
     return find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@_query
+def op4_html(spark: SparkSession, folder: str) -> DataFrame:
+    from textquarry.llm.html_paths import extract_pages
+
+    return extract_pages(_table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
