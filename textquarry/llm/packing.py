@@ -11,6 +11,7 @@ their bin by their rank within their length, again in Spark.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -29,15 +30,16 @@ from textquarry.llm.global_order import global_order
 
 CAPACITY = 2048
 END_ID = 0
-CACHED_WORDS = 400_000
-MAX_NODES = 20_000
+CACHED_WORDS = 300_000
+MAX_NODES = 8_000
 MAX_FILLINGS = 50
 
 # ---------------------------------------------------------------- tokens
 
-# The vocabulary's own word pattern, written out for lower-case Latin-1 text.
+# The vocabulary's own word pattern, written out for lower-case Latin-1 text. Only an
+# apostrophe can start two kinds of word, so the order of the others doesn't matter.
 _WORDS = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+    "[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|'(?:[stmd]|re|ve|ll)"
     "|[^a-z0-9\\t-\\r \x85\xa0\xaa\xb5\xba\xb2\xb3\xb9\xbc-\xbe\xdf-\xf6\xf8-\xff]+"
 )
 
@@ -57,39 +59,53 @@ class WordTokenizer:
         # Every word ends in a token of its own kind, and no other token has this ending.
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.seen: dict[str, bytes] = {}
+        # Two generations: a word that is met again while it is old becomes young.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self.seen) > CACHED_WORDS:
-            self.seen.clear()
+    def _learn(self, words: set[str]) -> None:
+        if len(self.young) > CACHED_WORDS:
+            self.old, self.young = self.young, {}
+        new = []
+        for word in words:
+            coded = self.old.get(word)
+            if coded is None:
+                new.append(word)
+            else:
+                self.young[word] = coded
+        if not new:
+            return
         ids = self._whole(" ".join(new))
         cuts = np.flatnonzero(self.ends_word[ids]) + 1
         if len(cuts) != len(new):
             raise ValueError("the vocabulary does not end words as expected")
-        coded = ids.tobytes()
-        start = 0
+        coded, start = ids.tobytes(), 0
         for word, cut in zip(new, (cuts * ids.itemsize).tolist()):
-            self.seen[word] = coded[start:cut]
+            self.young[word] = coded[start:cut]
             start = cut
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         split: list[list[str] | None] = []
+        unknown: set[str] = set()
         for text in texts:
             try:
                 text.encode("latin-1")
                 plain = not any(s in text for s in self.special)
             except UnicodeEncodeError:
                 plain = False
-            split.append(_WORDS.findall(text.lower()) if plain else None)
-        new = {w for words in split if words for w in words}
-        if len(self.seen) <= CACHED_WORDS:
-            new -= self.seen.keys()
-        if new:
-            self._learn(list(new))
-        known = self.seen.__getitem__
+            words = _WORDS.findall(text.lower()) if plain else None
+            split.append(words)
+            if words:
+                unknown.update(itertools.filterfalse(self.young.__contains__, words))
+        if unknown:
+            generation = self.young
+            self._learn(unknown)
+            if self.young is not generation:
+                self._learn({w for words in split if words for w in words})
+        known = self.young.__getitem__
         return [
             self._whole(text) if words is None else np.frombuffer(b"".join(map(known, words)), np.uint32)
             for text, words in zip(texts, split)
@@ -199,19 +215,19 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[Filling]:
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
     """Martello and Toth's bound: total length, and pieces that can't share a bin."""
-    best = -(-sum(n * c for n, c in counts.items()) // capacity)
-    lengths = sorted(counts)
-    count = np.array([counts[n] for n in lengths], dtype=object)
-    length = np.array(lengths, dtype=object)
-    for k in [0, *[n for n in lengths if n <= capacity // 2]]:
-        big = length > capacity - k
-        middle = (length > capacity // 2) & ~big
-        small = (length >= k) & (length <= capacity // 2)
-        n_big, n_middle = count[big].sum(), count[middle].sum()
-        room = n_middle * capacity - (length[middle] * count[middle]).sum()
-        extra = (length[small] * count[small]).sum() - room
-        best = max(best, int(n_big + n_middle + max(0, -(-extra // capacity))))
-    return best
+    if not counts:
+        return 0
+    count = np.zeros(capacity + 2, np.int64)
+    count[list(counts)] = list(counts.values())
+    pieces = np.concatenate(([0], count.cumsum()))  # pieces[n]: shorter than n
+    tokens = np.concatenate(([0], (count * np.arange(capacity + 2)).cumsum()))
+    half = capacity // 2 + 1
+    k = np.arange(half)  # pieces shorter than k are left out
+    big = pieces[-1] - pieces[capacity - k + 1]
+    middle = pieces[capacity - k + 1] - pieces[half]
+    room = middle * capacity - (tokens[capacity - k + 1] - tokens[half])
+    small = tokens[half] - tokens[k]
+    return int((big + middle + np.maximum(0, -(-(small - room) // capacity))).max())
 
 
 def fillings(counts: dict[int, int], largest: int, capacity: int, most: int = MAX_FILLINGS) -> list[tuple]:
