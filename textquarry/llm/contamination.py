@@ -244,16 +244,19 @@ def find_leaks(
     return found
 
 
+def _is_clean(index: ItemIndex, min_score: float):
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not index.matches(t, min_score) for t in texts], dtype=bool)
+
+    return clean
+
+
 def drop_leaks(
     docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE, text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``docs`` that hold no item of the benchmark."""
     kept = docs
     for index in build_indexes(docs, benchmark, text_col):
-
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, index: ItemIndex = index) -> pd.Series:
-            return pd.Series([not index.matches(t, min_score) for t in texts], dtype=bool)
-
-        kept = kept.where(clean(text_of(text_col)))
+        kept = kept.where(_is_clean(index, min_score)(text_of(text_col)))
     return kept

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -281,8 +282,8 @@ def keep_identified(docs: DataFrame, min_score: float = 0.4) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
-    def accepted(texts):
+    def accepted(texts: pd.Series) -> pd.Series:
         found = [shared.value.predict(t) for t in texts]
-        return texts.__class__([lang != UNKNOWN and score >= min_score for lang, score in found], dtype=object)
+        return pd.Series([lang != UNKNOWN and score >= min_score for lang, score in found], dtype=bool)
 
     return docs.where(accepted(text_of("text")))
