@@ -1,8 +1,9 @@
 """Benchmark leaks: rare n-gram seeds, then Smith-Waterman alignment.
 
 The corpus frequency of every n-gram of the test items is counted over all documents.
-Of each few neighbouring n-grams of an item the rarest is a seed, so no run of an item
-can be copied without one, however common its words are. Where a document holds a
+Of each few neighbouring n-grams of an item the rarest that occur at all are seeds, so no
+run of an item can be copied without one, however common its words are, and the n-grams
+that an editor has broken everywhere don't stand in for those that are left. Where a document holds a
 seed, the passage around it is aligned with the item word by word, which finds edited
 and paraphrased copies; passages that share too few words to reach the least score are
 skipped by an exact bound.
@@ -29,8 +30,8 @@ from textquarry.llm.common import materialize, slices, text_of
 from textquarry.llm.global_order import global_order
 
 GRAM = 3
-# One seed in each run of so many n-grams: a copied run of GRAM + SEED_SPAN - 1 words has one.
-SEED_SPAN = 8
+# The rarest n-grams of each run of SEED_SPAN: a copied run of GRAM + SEED_SPAN - 1 words has them.
+SEED_SPAN, SEEDS_PER_SPAN = 8, 3
 MATCH, MISMATCH, GAP = 2.0, -2.0, -2.0
 # Least alignment score as a share of the item's score with itself.
 MIN_SCORE = 0.4
@@ -105,16 +106,17 @@ class ItemIndex:
         return held[same], at[same]
 
     def choose_seeds(self, frequency: np.ndarray) -> None:
-        """The rarest n-gram of every ``SEED_SPAN`` neighbours in an item (the first of equals)."""
+        """The rarest n-grams of every ``SEED_SPAN`` neighbours in an item (the first of equals)."""
         places: dict[int, list[tuple[int, int]]] = {}
         for item, words in enumerate(self.words):
             codes = self._codes(words)
-            rarity = frequency[np.searchsorted(self.grams, codes)]
-            chosen = {
-                start + int(rarity[start : start + SEED_SPAN].argmin())
-                for start in range(max(1, len(codes) - SEED_SPAN + 1))
-            }
-            for at in chosen:
+            documents = frequency[np.searchsorted(self.grams, codes)]
+            rarity = np.where(documents > 0, documents, np.iinfo(np.int64).max)
+            chosen: set[int] = set()
+            for start in range(max(1, len(codes) - SEED_SPAN + 1)):
+                rarest = np.argsort(rarity[start : start + SEED_SPAN], kind="stable")[:SEEDS_PER_SPAN]
+                chosen.update(start + int(at) for at in rarest if documents[start + at])
+            for at in sorted(chosen):
                 places.setdefault(int(codes[at]), []).append((item, at))
         self.seeds = np.array(sorted(places), np.int64)
         self.places = [places[code] for code in self.seeds.tolist()]
