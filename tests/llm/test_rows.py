@@ -63,14 +63,11 @@ def test_random_strings_are_found_and_words_are_not(ratio):
 
 def test_training_counts_equal_a_loop(spark, make_docs):
     docs = [(1, "token=deadbeefdeadbeefdeadbeef and some words"), (2, None), (3, "more words")]
-    want = np.full((2, secrets.STATES, secrets.STATES), 0.5)
+    want = np.zeros((2, secrets.STATES, secrets.STATES))
     for _, text in docs:
         for label, counts in enumerate(secrets.sample_counts(text or "")):
             want[label] += counts.reshape(secrets.STATES, -1)
-    want[:, 0, 0] = 0.5
-    logs = np.log(want / want.sum(axis=2, keepdims=True))
-    want = logs[1] - logs[0]
-    want[0, 0] = 0
+    want = secrets.log_ratio(want)
     assert np.allclose(secrets.train(make_docs(docs)), want)
 
 

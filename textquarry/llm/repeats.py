@@ -135,9 +135,11 @@ def _document_order(keyed: DataFrame) -> tuple[DataFrame, int]:
         global_order(written, ["_d", "_t"], "_chars").select("_d", "_t", "_h1", "_h2", F.col("_row").alias("_ord")),
         "document-order",
     )
-    firsts = ordered.groupBy("_h1", "_h2").agg(F.min("_ord").alias("_first"))
-    marked = ordered.join(firsts, ["_h1", "_h2"]).select(
-        "_d", "_t", "_ord", (F.col("_ord") > F.col("_first")).alias("_copy")
+    texts = ordered.groupBy("_h1", "_h2").agg(F.min("_ord").alias("_first"), F.count("*").alias("_n"))
+    # Written, so that a text with very many copies meets a table it can be split against.
+    copied = materialize(texts.where("_n > 1").drop("_n"), "copied-texts")
+    marked = ordered.join(copied, ["_h1", "_h2"], "left").select(
+        "_d", "_t", "_ord", F.coalesce(F.col("_ord") > F.col("_first"), F.lit(False)).alias("_copy")
     )
     return marked, max(1, int(longest).bit_length())
 

@@ -40,6 +40,8 @@ STATES = len(TOKEN_CHARS) + 1  # state 0 stands for both ends of a token
 MIN_TOKEN = 16
 # Natural log of the odds against a long token being a secret.
 PRIOR_LOG_ODDS = 14.0
+# Observations that a character's general frequency counts for in each row of a model.
+SMOOTHING = 5.0
 
 _STATE = np.zeros(256, np.int64)
 for _i, _c in enumerate(TOKEN_CHARS, 1):
@@ -124,11 +126,20 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         .agg(F.sum("n").alias("n"))
         .collect()
     )
-    counts = np.full((2, STATES, STATES), 0.5)  # add-half smoothing
+    counts = np.zeros((2, STATES, STATES))
     for label, pair, n in rows:
         counts[label, pair // STATES, pair % STATES] += n
-    counts[:, 0, 0] = 0.5  # gaps between tokens say nothing
-    logs = np.log(counts / counts.sum(axis=2, keepdims=True))
+    return log_ratio(counts)
+
+
+def log_ratio(counts: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratios from pair counts; rare rows lean on how common the next character is."""
+    counts = counts.copy()
+    counts[:, 0, 0] = 0  # gaps between tokens say nothing
+    single = counts.sum(axis=1) + 0.5
+    single /= single.sum(axis=1, keepdims=True)
+    smooth = counts + SMOOTHING * single[:, None, :]
+    logs = np.log(smooth / smooth.sum(axis=2, keepdims=True))
     ratio = logs[1] - logs[0]
     ratio[0, 0] = 0.0
     return ratio
