@@ -283,7 +283,24 @@ def test_reformat_context(spark):
 
 
 def test_first_fit_order():
-    assert list(P.first_fit(np.array([5, 6, 4, 3, 2]), 10)) == [0, 1, 0, 1, 2]
+    assert P.first_fit([(5, 1), (6, 1), (4, 1), (3, 1), (2, 1)], 10) == [
+        (1, [(5, 1), (4, 1)]), (1, [(6, 1), (3, 1)]), (1, [(2, 1)])
+    ]
+
+
+def test_first_fit_of_many_equal_lengths_equals_one_by_one():
+    rng = random.Random(3)
+    for _ in range(50):
+        counts = [(n, rng.randint(1, 9)) for n in rng.sample(range(1, 40), 6)]
+        free = []
+        for length, many in counts:
+            for _ in range(many):
+                at = next((i for i, room in enumerate(free) if room >= length), len(free))
+                if at == len(free):
+                    free.append(50)
+                free[at] -= length
+        got = P.first_fit(counts, 50)
+        assert [50 - sum(n * u for n, u in parts) for many, parts in got for _ in range(many)] == free
 
 
 def test_pack_columns_known_batch(spark):
@@ -304,7 +321,7 @@ def test_packing_keeps_tokens(spark, algorithm):
     rng = random.Random(5)
     rows = [(i, [rng.randrange(9) for _ in range(rng.randrange(5, 40))]) for i in range(300)]
     df = spark.createDataFrame(rows, "id int, input_ids array<int>").withColumn("loss_mask", F.transform("input_ids", lambda x: F.lit(1)))
-    packs = P.pack(df, "id", capacity=64, algorithm=algorithm, rows_per_shard=100).collect()
+    packs = P.pack(df, "id", capacity=64, algorithm=algorithm).collect()
     assert sum(len(p.input_ids) for p in packs) == sum(len(r[1]) for r in rows)
     assert all(len(p.input_ids) - (len(p.seq_boundaries) - 1) <= 64 for p in packs)
     assert sum(len(p.seq_boundaries) - 1 for p in packs) == 300

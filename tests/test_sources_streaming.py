@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from textquarry.sources import readers, writers
@@ -39,14 +40,26 @@ def test_eval_files_keep_time_and_skip_deprecated(spark, tmp_path):
 
 
 def test_partitioned_sink_splits_hot_values(spark, tmp_path):
-    df = spark.range(4000).select("id", F.when(F.col("id") < 3900, "hot").otherwise("cold").alias("lang"))
-    # So little data would be merged into one task otherwise.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    writers.write_jsonl(df, str(tmp_path / "o"), ("lang",), files_per_value=8)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    ids = spark.range(0, 40_000, 1, 24)
+    df = ids.select("id", F.when(F.col("id") < 39_900, "hot").otherwise("cold").alias("lang"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "8k")
+    writers.write_jsonl(df, str(tmp_path / "o"), ("lang",))
+    spark.conf.unset(size)
     hot = list((tmp_path / "o" / "lang=hot").glob("*.json.gz"))
-    assert 1 < len(hot) <= 8
-    assert spark.read.json(str(tmp_path / "o")).count() == 4000
+    assert len(hot) > 8 and len(list((tmp_path / "o" / "lang=cold").glob("*.json.gz"))) == 1
+    assert spark.read.json(str(tmp_path / "o")).count() == 40_000
+
+
+def test_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from textquarry.session import shared_folder
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    lost = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(lost)
 
 
 def test_stream_merges_across_runs(spark, tmp_path):

@@ -103,7 +103,7 @@ BOOK_NOISE = [
 ]
 
 THINK_CLOSED = r"(?s)<think>(.*?)</think>"
-THINK_OPEN = r"(?s)<think>(.*?)(?:</think>|$)"
+THINK_OPEN = r"(?sd)<think>(.*?)(?:</think>|$)"
 
 
 def split_thinking(text: Column) -> Column:

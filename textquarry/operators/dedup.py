@@ -55,7 +55,7 @@ def with_cluster_size(
     up; a missing match is a cluster of one. The most frequent texts come from a
     small broadcast list, so their copies do not gather; ``key`` tells rows apart.
     """
-    keyed = df.withColumn("_hash", content_hash(F.col(text)))
+    keyed = df.withColumn("_hash", F.coalesce(content_hash(F.col(text)), F.lit("")))
     sizes = keyed.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1")
     joined = lookup_by_frequency(keyed, sizes, "_hash", "_n", [key], total=df.count())
     return joined.select(*df.columns, F.coalesce("_n", F.lit(1)).cast("bigint").alias(name))

@@ -91,7 +91,8 @@ def tag_robots(df: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     )
     hosted = df.withColumn("_host", url_host(F.col(url)))
     pages = hosted.groupBy("_host").agg(F.count("*").alias("_n"))
-    known = sites.join(pages, "_host").withColumn("_site", F.col("_host"))
+    # Hosts without rules too: their pages must not gather either.
+    known = pages.join(sites.withColumn("_site", F.col("_host")), "_host", "left")
     joined = lookup_by_frequency(hosted, known, "_host", "_n", [url])
     path = url_path(F.col(url))
     matching = F.filter("_rules", lambda r: F.startswith(path, r["path"]))

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import math
+import random
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.functions.hashing import let, uniform
-
-ROWS_PER_SHARD = 20_000
+from textquarry.operators.ordering import numbered
+from textquarry.session import written
 
 
 def pack_length_histogram(df: DataFrame, ids: str = "input_ids") -> DataFrame:
@@ -19,56 +17,74 @@ def pack_length_histogram(df: DataFrame, ids: str = "input_ids") -> DataFrame:
     return df.groupBy((F.size(ids) - 1).alias("length")).agg(F.count("*").alias("n"))
 
 
-def first_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Bin number of each length, taken in the given order: the first open bin with room."""
-    free = np.empty(len(lengths), dtype=np.int64)
-    bins, used = np.empty(len(lengths), dtype=np.int64), 0
-    for i, length in enumerate(lengths):
-        room = free[:used] >= length
-        at = int(room.argmax()) if used and room.any() else used
-        if at == used:
-            free[used], used = capacity, used + 1
-        free[at] -= length
-        bins[i] = at
-    return bins
+def first_fit(counts: list[tuple[int, int]], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """First fit of lengths in the given order, all sequences of a length at once.
+
+    Returns the bins in order, equal neighbours together: how many, and the uses of each
+    length in one of them.
+    """
+    bins: list[tuple[int, int, list[tuple[int, int]]]] = []  # how many, room, content
+    for length, left in counts:
+        out = []
+        for many, room, content in bins:
+            fit = room // length
+            full = min(many, left // fit) if fit else 0
+            rest = min(left - full * fit, fit - 1) if fit and full < many else 0
+            if full:
+                out.append((full, room - fit * length, [*content, (length, fit)]))
+            if rest:
+                out.append((1, room - rest * length, [*content, (length, rest)]))
+            if many - full - bool(rest):
+                out.append((many - full - bool(rest), room, content))
+            left -= full * fit + rest
+        fit = capacity // length
+        if left // fit:
+            out.append((left // fit, capacity - fit * length, [(length, fit)]))
+        if left % fit:
+            out.append((1, capacity - left % fit * length, [(length, left % fit)]))
+        bins = out
+    return [(many, content) for many, _, content in bins]
 
 
 def assign_bins(
     df: DataFrame, key: str, ids: str = "input_ids", capacity: int = 2048, seed: int = 0,
-    algorithm: str = "first_fit_shuffle", rows_per_shard: int = ROWS_PER_SHARD,
+    algorithm: str = "first_fit_shuffle",
 ) -> DataFrame:
-    """``key, shard, bin``: first fit in random or decreasing order, within shards of the table.
+    """``key, bin``: first fit over all sequences, with lengths in random or decreasing order.
 
-    Shards are slices of a hash of the key, so they are even whatever the data, and
-    their number follows from the row count. Only keys and lengths go to Python.
-    The packing is optimal per shard order, not across shards; with thousands of
-    sequences per shard the difference is a fraction of one bin per shard.
+    The packing follows from how many sequences of each length there are, at most
+    ``capacity`` numbers, so it is one packing of the whole table whatever its size.
+    Sequences then take the places of their length in the order of a hash.
     """
-    shards = max(1, math.ceil(df.count() / rows_per_shard))
+    length = F.size(ids) - 1
+    too_long = F.when(length > capacity, F.raise_error(F.lit("a sequence is longer than the pack size")))
     lengths = df.select(
-        key,
-        (F.size(ids) - 1).alias("length"),
-        F.floor(uniform(key, seed=f"{seed}-shard") * shards).cast("int").alias("shard"),
-        uniform(key, seed=f"{seed}-order").alias("u"),
+        key, F.coalesce(too_long.cast("int"), length).alias("length"), uniform(key, seed=f"{seed}-order").alias("_u")
     )
-    too_long = F.when(F.col("length") > capacity, F.raise_error(F.lit("a sequence is longer than the pack size")))
-    lengths = lengths.withColumn("length", F.coalesce(too_long.cast("int"), F.col("length")))
-    kind = df.schema[key].dataType.simpleString()
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        if algorithm == "first_fit_decreasing":
-            pdf = pdf.sort_values(["length", "u", key], ascending=[False, True, True])
-        else:
-            pdf = pdf.sort_values(["u", key])
-        bins = first_fit(pdf["length"].to_numpy(), capacity)
-        return pd.DataFrame({key: pdf[key], "shard": pdf["shard"], "bin": bins})
-
-    return lengths.groupBy("shard").applyInPandas(pack, f"{key} {kind}, shard int, bin bigint")
+    lengths = written(lengths, "pack-lengths")
+    counts = sorted(((r[0], r[1]) for r in lengths.groupBy("length").count().collect() if r[0] > 0), reverse=True)
+    if algorithm == "first_fit_shuffle":
+        random.Random(seed).shuffle(counts)
+    # One row per length and group of equal bins; bounded by the capacity, not by the table.
+    places, taken, first = [], {}, 0
+    for many, content in first_fit(counts, capacity):
+        for n, uses in content:
+            start = taken.get(n, 0)
+            places.append((n, start, start + many * uses, first, uses))
+            taken[n] = start + many * uses
+        first += many
+    table = df.sparkSession.createDataFrame(places, "_length int, _from bigint, _to bigint, _first bigint, _uses bigint")
+    rank = numbered(lengths.where("length > 0"), ["_u", key], "_rank", ["length"]).withColumn("_rank", F.col("_rank") - 1)
+    inside = (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("_from"), F.col("_to") - 1)
+    place = F.col("_first") + F.floor((F.col("_rank") - F.col("_from")) / F.col("_uses"))
+    placed = rank.join(F.broadcast(table), inside).select(key, place.alias("bin"))
+    # A single token has no successor and takes no room: any bin will do.
+    return placed.unionByName(lengths.where("length <= 0").select(key, F.lit(0).cast("bigint").alias("bin")))
 
 
 def pack(
     df: DataFrame, key: str, ids: str = "input_ids", mask: str = "loss_mask", capacity: int = 2048, seed: int = 0,
-    algorithm: str = "first_fit_shuffle", rows_per_shard: int = ROWS_PER_SHARD,
+    algorithm: str = "first_fit_shuffle",
 ) -> DataFrame:
     """Packed samples: concatenated tokens and masks with the sequence boundaries.
 
@@ -76,14 +92,14 @@ def pack(
     of each sequence moves one place to the left, because a token is trained to
     give the next one. Packs whose mask counts exactly one token are dropped.
     """
-    bins = assign_bins(df, key, ids, capacity, seed, algorithm, rows_per_shard)
+    bins = assign_bins(df, key, ids, capacity, seed, algorithm)
     shifted = F.array_append(F.slice(mask, F.lit(2), F.greatest(F.size(mask) - 1, F.lit(0))), F.lit(0))
     placed = df.select(key, ids, shifted.alias(mask)).join(bins, key)
     members = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(ids).alias("ids"), F.col(mask).alias("mask"))))
-    grouped = placed.groupBy("shard", "bin").agg(members.alias("_m"))
+    grouped = placed.groupBy("bin").agg(members.alias("_m"))
     lengths = F.transform("_m", lambda m: F.size(m["ids"]))
     packs = grouped.select(
-        "shard", "bin",
+        "bin",
         F.flatten(F.transform("_m", lambda m: m["ids"])).alias("input_ids"),
         F.flatten(F.transform("_m", lambda m: m["mask"])).alias("loss_mask"),
         boundaries(lengths).alias("seq_boundaries"),
@@ -138,7 +154,8 @@ def pack_columns(packs: DataFrame, pad_id: int, multiple: int = 16, max_length:
     )
     n = F.size("_tokens")
     padded = F.least(ceil_to_multiple(n, multiple), F.lit(max_length))
-    parts = parts.withColumns({"_n": n, "_padded": F.greatest(padded, n)})
+    over = F.raise_error(F.lit("a pack is longer than max_length")).cast("int")
+    parts = parts.withColumns({"_n": n, "_padded": F.when(n > max_length, over).otherwise(padded)})
 
     def pad(column: Column, value) -> Column:
         return F.concat(column, F.array_repeat(F.lit(value), F.col("_padded") - F.size(column)))

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from textquarry.functions.hashing import let
 from textquarry.functions.text import words
 from textquarry.operators.skew import lookup_by_frequency
+from textquarry.session import written
 
 
 # Names that cannot meet a column of the caller.
@@ -68,17 +69,18 @@ def train_classifier(
     return Pipeline(stages=stages).fit(prepared)
 
 
-def _classifier_input(df: DataFrame, text: str, ngrams: int) -> DataFrame:
-    return df.withColumn("_grams", word_ngrams(classifier_text(F.col(text)), ngrams))
+def _classifier_input(df: DataFrame, text: str, ngrams: int, whole: bool = False) -> DataFrame:
+    read = F.replace(F.col(text), F.lit("\n"), F.lit(" ")) if whole else classifier_text(F.col(text))
+    return df.withColumn("_grams", word_ngrams(read, ngrams))
 
 
 def score_classifier(
     df: DataFrame, model: PipelineModel, text: str = "text", into: str = "label_probs", ngrams: int = 2
 ) -> DataFrame:
-    """Add the map from label to probability."""
+    """Add the map from label to probability, read from the whole text (training reads its head)."""
     names = F.array(*[F.lit(x) for x in model.stages[0].labels])
     scoring = PipelineModel(model.stages[1:])
-    scored = scoring.transform(_classifier_input(df, text, ngrams))
+    scored = scoring.transform(_classifier_input(df, text, ngrams, whole=True))
     probs = F.map_from_arrays(names, vector_to_array("_probability"))
     return scored.withColumn(into, probs).select(*df.columns, into)
 
@@ -158,22 +160,25 @@ def _bigrams(text: Column) -> Column:
 
 
 def train_bigrams(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Bigram probabilities per language: one row per ``key`` = language and pair.
+    """Bigram counts per language: one row per ``key`` = language and pair, or language and first word.
 
-    ``n`` is the pair's count, ``left`` the count of its first word and ``vocab``
-    the number of first words, for add-k smoothing.
+    ``n`` is the pair's count (0 in the rows of first words), ``left`` the count of its
+    first word, ``vocab`` the number of first words and ``seen`` how often the key occurs.
     """
     pairs = df.select(F.col(lang).alias("lang"), F.explode(_bigrams(F.col(text))).alias("pair"))
     counts = pairs.groupBy("lang", "pair").agg(F.count("*").alias("n"))
-    with_left = counts.withColumn("w1", F.substring_index("pair", " ", 1))
-    lefts = with_left.groupBy("lang", "w1").agg(F.sum("n").alias("left"))
+    counts = written(counts.withColumn("w1", F.substring_index("pair", " ", 1)), "bigrams")
+    lefts = written(counts.groupBy("lang", "w1").agg(F.sum("n").alias("left")), "first-words")
     # A handful of languages.
     vocab = lefts.groupBy("lang").agg(F.count("*").alias("vocab"))
-    return (
-        with_left.join(lefts, ["lang", "w1"])
-        .join(vocab, "lang")
-        .select(F.concat_ws("|", "lang", "pair").alias("key"), "n", "left", "vocab")
+    history = lefts.join(F.broadcast(vocab), "lang")
+    seen_pairs = counts.join(history, ["lang", "w1"]).select(
+        F.concat_ws("|", "lang", "pair").alias("key"), "n", "left", "vocab", F.col("n").alias("seen")
     )
+    first_words = history.select(
+        F.concat_ws("|", "lang", "w1").alias("key"), F.lit(0).cast("bigint").alias("n"), "left", "vocab", F.col("left").alias("seen")
+    )
+    return written(seen_pairs.unionByName(first_words), "bigram-model")
 
 
 def perplexity(
@@ -181,9 +186,8 @@ def perplexity(
 ) -> DataFrame:
     """Perplexity of each document under the add-k bigram model of its language.
 
-    Pairs are counted per document before the lookup. The most frequent pairs are
-    answered from a broadcast list, the others through an evenly keyed shuffle. A
-    pair the model never saw is worth one in a million.
+    Pairs are counted per document before the lookup. A pair the model never saw is
+    looked up by its first word; a first word it never saw is worth one in a million.
     """
     per_doc = (
         df.select(key, F.col(lang).alias("_lang"), F.explode(_bigrams(F.col(text))).alias("_pair"))
@@ -191,8 +195,17 @@ def perplexity(
         .agg(F.count("*").alias("_m"))
         .withColumn("key", F.concat_ws("|", "_lang", "_pair"))
     )
-    met = lookup_by_frequency(per_doc, bigrams, "key", "n", [key])
-    logp = F.coalesce(F.log((F.col("n") + k) / (F.col("left") + k * F.col("vocab"))), F.lit(-13.815510557964274))
+    first = F.concat_ws("|", "_lang", F.substring_index("_pair", " ", 1))
+    met = lookup_by_frequency(per_doc, bigrams, "key", "seen", [key, "_pair"]).withColumn("first", F.when(F.col("n").isNull(), first))
+    histories = bigrams.select(
+        F.col("key").alias("first"), F.col("left").alias("_left"), F.col("vocab").alias("_vocab"), F.col("seen").alias("_seen")
+    )
+    met = lookup_by_frequency(met, histories, "first", "_seen", [key, "_pair"])
+    logp = F.coalesce(
+        F.log((F.col("n") + k) / (F.col("left") + k * F.col("vocab"))),
+        F.log(F.lit(k) / (F.col("_left") + k * F.col("_vocab"))),
+        F.lit(-13.815510557964274),
+    )
     return met.groupBy(key).agg(F.exp(-F.sum(F.col("_m") * logp) / F.sum("_m")).alias("perplexity"))
 
 

@@ -24,10 +24,11 @@ def lookup_by_frequency(
     """Left join with a table that is unique by ``key`` and knows how often each key occurs.
 
     A key is hot if it makes up more than one in ``hot_keys`` of all occurrences,
-    so there are fewer than ``hot_keys`` of them, whatever the data: they are
-    broadcast. Rows they answer enter the second, shuffled join under a key of
-    their own, made from ``spread_by``, that matches nothing; only rows of ordinary
-    keys meet there. ``total`` is the number of occurrences if it is known.
+    so there are fewer than ``hot_keys`` of them, whatever the data. The row of a hot
+    key is copied once for each such share it has, at most ``2 * hot_keys`` rows in
+    all, and the rows that ask for it are dealt over the copies by ``spread_by``; only
+    the hot keys with their number of copies are broadcast. Rows without a key meet
+    nothing and are spread too. ``total`` is the number of occurrences if it is known.
     """
     columns = [c for c in right.columns if c != key]
     packed = F.struct(*columns)
@@ -37,15 +38,16 @@ def lookup_by_frequency(
         marked = right.join(F.broadcast(sums), F.lit(True))
     else:
         marked = right.withColumn("_total", F.lit(total))
-    is_hot = F.col(frequency) * hot_keys > F.col("_total")
+    share = F.ceil(F.col(frequency) * hot_keys / F.col("_total")).cast("int")
     # Never NULL, so no filter is inferred and both sides share one computation of ``right``.
-    named = marked.withColumn("_rk", F.coalesce(_named(key), F.lit("")))
-    hot = named.where(is_hot).select(F.col("_rk").alias("_hk"), packed.alias("_hv"))
-    cold = named.where(~is_hot).select(F.col("_rk").alias("_ck"), packed.alias("_cv"))
+    named = marked.withColumn("_rk", F.coalesce(_named(key), F.lit(""))).withColumn("_copies", F.greatest(share, F.lit(1)))
+    hot = named.where("_copies > 1").select(F.col("_rk").alias("_hk"), F.col("_copies").alias("_hc"))
+    copied = named.select("_rk", packed.alias("_v"), F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy"))
+    copied = copied.select(F.concat("_rk", F.lit("#"), "_copy").alias("_ck"), "_v")
 
     first = left.withColumn("_lk", _named(key)).join(F.broadcast(hot), F.col("_lk") == F.col("_hk"), "left")
+    dealt = F.pmod(F.xxhash64(*spread_by), F.coalesce("_hc", F.lit(1)))
     own = F.concat(F.lit("#"), F.xxhash64(*spread_by).cast("string"))
-    joined_on = F.when(F.col("_hk").isNotNull(), own).otherwise(F.col("_lk"))
-    second = first.withColumn("_jk", joined_on).join(cold, F.col("_jk") == F.col("_ck"), "left")
-    values = [F.coalesce(F.col(f"_hv.{c}"), F.col(f"_cv.{c}")).alias(c) for c in columns]
-    return second.select(*left.columns, *values)
+    joined_on = F.coalesce(F.concat("_lk", F.lit("#"), dealt), own)
+    second = first.withColumn("_jk", joined_on).join(copied, F.col("_jk") == F.col("_ck"), "left")
+    return second.select(*left.columns, *[F.col(f"_v.{c}").alias(c) for c in columns])

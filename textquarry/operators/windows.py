@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from textquarry.functions.hashing import uniform
 from textquarry.functions.text import geometric_break
@@ -124,25 +122,6 @@ def truncate_series(df: DataFrame, order: str, arrays: list[str], most: float) -
     return df.withColumn("_k", kept).withColumns({c: F.slice(c, F.lit(1), F.col("_k")) for c in [order, *arrays]}).drop("_k")
 
 
-def _fold_bins(narrow: DataFrame, order: list[str], cap: int) -> DataFrame:
-    """Greedy bins of one bounded slice in a single pass over (key, size)."""
-    keys = [f for f in narrow.schema.fields if f.name in order]
-    schema = T.StructType([*keys, T.StructField("bin", T.LongType())])
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        held, bin_no, bins = 0, -1, []
-        for size in pdf["_size"]:
-            if bin_no < 0 or held + size > cap:
-                bin_no, held = bin_no + 1, size
-            else:
-                held += size
-            bins.append(bin_no)
-        return pdf[order].assign(bin=bins)
-
-    return narrow.withColumn("_all", F.lit(True)).groupBy("_all").applyInPandas(fill, schema)
-
-
 def _next_starts(rows: DataFrame, cap: int, rows_per_range: int) -> DataFrame:
     """For each row, the row that opens the next bin if this row opens one (NULL at the end).
 
@@ -154,8 +133,10 @@ def _next_starts(rows: DataFrame, cap: int, rows_per_range: int) -> DataFrame:
     )
     cut = split_ranges(points, ["v", "kind", "_n"], rows_per_range)
     row_here = F.when(F.col("kind") == 0, F.col("_n"))
-    after = W.partitionBy("_range").orderBy("v", "kind", "_n").rowsBetween(1, W.unboundedFollowing)
-    local = cut.withColumn("_here", F.first(row_here, ignorenulls=True).over(after))
+    # Read backwards, so that each row adds to what the last one knew: linear in the range.
+    later_first = W.partitionBy("_range").orderBy(F.desc("v"), F.desc("kind"), F.desc("_n"))
+    after = later_first.rowsBetween(W.unboundedPreceding, -1)
+    local = cut.withColumn("_here", F.last(row_here, ignorenulls=True).over(after))
     # One row per range: the first row of any later range.
     firsts = cut.groupBy("_range").agg(F.min(row_here).alias("_f"))
     later = firsts.select(
@@ -173,15 +154,11 @@ def ordered_bins(
     """Cut the ordered rows into bins whose sizes sum to at most ``cap``; adds ``bin`` from 0.
 
     A bin is filled until the next row would not fit, and a row larger than the cap
-    is alone. Up to ``rows_per_range`` rows one pass over (key, size) does it.
-    Beyond, every row knows the start that would follow its own, and the true
+    is alone. Every row knows the start that would follow its own, and the true
     starts are reached from the first row by doubling: after k rounds the first
     2^k starts are known. Rounds are cut with ``checkpoint`` in the shared folder.
     """
     narrow = df.select(*order, F.col(size).cast("bigint").alias("_size"))
-    if narrow.limit(rows_per_range + 1).count() <= rows_per_range:
-        return df.join(_fold_bins(narrow, order, cap), order)
-
     shared_folder(df.sparkSession)
     ordered = running(
         narrow, order, {"_n": F.lit(1).cast("bigint"), "_upto": F.col("_size")}, rows_per_range=rows_per_range

@@ -161,12 +161,12 @@ def pair_positions(t):
 
 @query(
     "attach_labels", "J13",
-    "SELECT doc_id, quality::BIGINT AS quality, toxic::BIGINT AS toxic, substr(replace(text, chr(10), ' '), 1, 50) AS head FROM documents JOIN labels USING (doc_id)",
+    "SELECT doc_id, quality::BIGINT AS quality, toxic::BIGINT AS toxic, md5(replace(text, chr(10), ' ')) AS digest FROM documents JOIN labels USING (doc_id)",
 )
 def attach_labels(t):
-    head = F.substring(F.replace("text", F.lit("\n"), F.lit(" ")), 1, 50)
+    digest = F.md5(F.replace("text", F.lit("\n"), F.lit(" ")))
     return t.documents.join(t.labels, "doc_id").select(
-        "doc_id", F.col("quality").cast("bigint").alias("quality"), F.col("toxic").cast("bigint").alias("toxic"), head.alias("head")
+        "doc_id", F.col("quality").cast("bigint").alias("quality"), F.col("toxic").cast("bigint").alias("toxic"), digest.alias("digest")
     )
 
 
@@ -210,9 +210,8 @@ def distinct_rows(t):
     "ordered_distinct", "U5",
     """WITH w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^ \\n]+')) AS word, generate_subscripts(regexp_extract_all(text, '[^ \\n]+'), 1) AS i FROM documents),
             f AS (SELECT doc_id, word, min(i) AS i FROM w GROUP BY ALL)
-       SELECT doc_id, md5(string_agg(word, ' ' ORDER BY i)) AS digest FROM f GROUP BY doc_id""",
+       SELECT doc_id, md5(coalesce(string_agg(word, ' ' ORDER BY i), '')) AS digest FROM documents LEFT JOIN f USING (doc_id) GROUP BY doc_id""",
 )
 def ordered_distinct_words(t):
     found = F.regexp_extract_all("text", F.lit(r"[^ \n]+"), F.lit(0))
-    rows = t.documents.where(F.size(found) > 0)
-    return rows.select("doc_id", F.md5(F.array_join(ordered_distinct(found), " ")).alias("digest"))
+    return t.documents.select("doc_id", F.md5(F.array_join(ordered_distinct(found), " ")).alias("digest"))

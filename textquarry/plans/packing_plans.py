@@ -17,11 +17,11 @@ def sequences(t):
     """Token lists of turns; a token id is a hash of the word."""
     ids = F.transform(words(F.col("text")), lambda w: F.pmod(F.hash(w), F.lit(32_000)) + 2)
     rows = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("seq_id"), ids.alias("input_ids"))
-    rows = rows.where("size(input_ids) > 1")
+    rows = rows.where("size(input_ids) > 0")
     return rows.withColumn("loss_mask", answer_loss_mask(F.col("input_ids"), F.lit(3)))
 
 
-_LENGTHS = f"WITH w AS (SELECT conv_id * 1000 + turn AS seq_id, {n_words('text')} AS n FROM conversations), s AS (SELECT * FROM w WHERE n > 1)"
+_LENGTHS = f"WITH w AS (SELECT conv_id * 1000 + turn AS seq_id, {n_words('text')} AS n FROM conversations), s AS (SELECT * FROM w WHERE n > 0)"
 
 
 @query("pack_length_histogram", "PK1 A4", f"{_LENGTHS} SELECT (n - 1)::INT AS length, count(*)::BIGINT AS n FROM s GROUP BY 1")
@@ -34,7 +34,7 @@ def pack_length_histogram(t):
     f"{_LENGTHS} SELECT count(*)::BIGINT AS sequences, sum(n)::BIGINT AS tokens, sum(greatest(n - 3, 0))::BIGINT AS loss_tokens FROM s",
 )
 def pack_totals(t):
-    packs = X.pack(sequences(t), "seq_id", capacity=CAPACITY, rows_per_shard=200)
+    packs = X.pack(sequences(t), "seq_id", capacity=CAPACITY)
     return packs.agg(
         F.sum(F.size("seq_boundaries") - 1).alias("sequences"), F.sum(F.size("input_ids")).alias("tokens"),
         F.sum(F.aggregate("loss_mask", F.lit(0), lambda a, x: a + x)).alias("loss_tokens"),
@@ -44,7 +44,7 @@ def pack_totals(t):
 @query("pack_sequences", "PK1")
 def pack_sequences(t):
     packs = X.pack(sequences(t), "seq_id", capacity=CAPACITY, algorithm="first_fit_decreasing")
-    return packs.select("shard", "bin", F.size("input_ids").alias("n_tokens"), F.size("seq_boundaries").alias("n_boundaries"))
+    return packs.select("bin", F.size("input_ids").alias("n_tokens"), F.size("seq_boundaries").alias("n_boundaries"))
 
 
 @query(

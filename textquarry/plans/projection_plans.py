@@ -73,12 +73,12 @@ def map_language(t):
 
 @query(
     "slugify", "P6",
-    r"""SELECT doc_id, regexp_replace(regexp_replace(translate(lower(substr(text, 1, 80)),
+    r"""SELECT doc_id, regexp_replace(regexp_replace(translate(lower(text),
               'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug
        FROM documents""",
 )
 def slugs(t):
-    return t.documents.select("doc_id", slugify(F.substring("text", 1, 80)).alias("slug"))
+    return t.documents.select("doc_id", slugify(F.col("text")).alias("slug"))
 
 
 @query(

@@ -15,14 +15,14 @@ def labelled(t):
 
 @query("classifier_scores", "M1 M2")
 def classifier_scores(t):
-    model = X.train_classifier(labelled(t), "quality", features=1 << 14, iterations=8)
+    model = X.train_classifier(labelled(t), "quality")
     scored = X.score_classifier(t.documents, model)
     return scored.select("doc_id", F.round(expected_score(F.col("label_probs")), 4).alias("edu_score_mean"))
 
 
 @query("classifier_keep", "M1 M2")
 def classifier_keep(t):
-    model = X.train_classifier(labelled(t), "toxic", features=1 << 14, iterations=8)
+    model = X.train_classifier(labelled(t), "toxic")
     return X.drop_zero_class(X.score_classifier(t.documents, model)).select("doc_id")
 
 

@@ -72,10 +72,10 @@ def train_test(t):
 @query(
     "choose_prompt", "SP10",
     f"""WITH u AS (SELECT doc_id, text, {uniform('doc_id', seed=11)} AS u FROM documents)
-        SELECT doc_id, CASE WHEN u < 0.25 THEN 'easy: ' WHEN u < 0.75 THEN 'medium: ' ELSE 'hard: ' END || substr(text, 1, 20) AS instruction FROM u""",
+        SELECT doc_id, CASE WHEN u < 0.25 THEN 'easy: ' WHEN u < 0.75 THEN 'medium: ' ELSE 'hard: ' END || substr(text, 1, 2000) AS instruction FROM u""",
 )
 def choose_prompt(t):
     from textquarry.functions.text import fill_prompt
 
     chosen = X.choose_prompt(t.documents, ["easy: <text>", "medium: <text>", "hard: <text>"], [1, 2, 1], "doc_id", seed=11)
-    return chosen.select("doc_id", fill_prompt(F.col("prompt"), F.col("text"), max_chars=20).alias("instruction"))
+    return chosen.select("doc_id", fill_prompt(F.col("prompt"), F.col("text")).alias("instruction"))

@@ -354,17 +354,18 @@ def split_sentences(t):
 
 @query(
     "fit_template", "T35",
-    """WITH c AS (SELECT conv_id, regexp_extract_all(text, '[^ \\n]+')[1:60] AS q FROM conversations WHERE turn = 0),
-        k AS (SELECT conv_id, q, 3 + len(q) + 2 + 4 AS total FROM c)
-       SELECT conv_id, (CASE WHEN total > 32 THEN greatest(len(q) - (total - 32), 0) ELSE len(q) END)::INT AS kept_question,
+    """WITH c AS (SELECT conv_id, regexp_extract_all(text, '[^ \\n]+') AS q, turn FROM conversations),
+        k AS (SELECT conv_id, turn, q, 3 + len(q) + 2 + 4 AS total FROM c)
+       SELECT conv_id, turn, (CASE WHEN total > 32 THEN greatest(len(q) - (total - 32), 0) ELSE len(q) END)::INT AS kept_question,
               least(total, 32)::INT AS n_tokens FROM k""",
 )
 def fit_template(t):
     from textquarry.operators.tokens import fit_template as fit
 
-    q = F.slice(X.words(F.col("text")), 1, 60)
-    rows = t.conversations.where("turn = 0").select(
+    q = X.words(F.col("text"))
+    rows = t.conversations.select(
         "conv_id",
+        "turn",
         F.array(
             F.struct(F.lit("<template>").alias("key"), F.array(*[F.lit(w) for w in ["Context", ":", "x"]]).alias("ids")),
             F.struct(F.lit("question").alias("key"), q.alias("ids")),
@@ -374,7 +375,7 @@ def fit_template(t):
     )
     out = fit(rows, "parts", max_len=32, fields=["question"], side="right")
     return out.select(
-        "conv_id", F.size(F.get("parts", F.lit(1))["ids"]).alias("kept_question"),
+        "conv_id", "turn", F.size(F.get("parts", F.lit(1))["ids"]).alias("kept_question"),
         F.aggregate("parts", F.lit(0), lambda a, p: a + F.size(p["ids"])).alias("n_tokens"),
     )
 
@@ -413,11 +414,11 @@ def loss_mask_by_role(t):
         e AS (SELECT doc_id, unnest(tokens) AS tok, generate_subscripts(tokens, 1) AS i FROM w),
         s AS (SELECT doc_id, i, sum(CASE WHEN tok = 'the' OR i = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS seg FROM e),
         l AS (SELECT doc_id, seg, count(*) AS n FROM s GROUP BY ALL)
-       SELECT doc_id, string_agg(n::VARCHAR, ',' ORDER BY seg) AS lengths FROM l GROUP BY doc_id""",
+       SELECT doc_id, coalesce(string_agg(n::VARCHAR, ',' ORDER BY seg), '') AS lengths FROM documents LEFT JOIN l USING (doc_id) GROUP BY doc_id""",
 )
 def segment_lengths(t):
     tokens = F.regexp_extract_all("text", F.lit(r"[^ \n]+"), F.lit(0))
-    rows = t.documents.select("doc_id", tokens.alias("tokens")).where(F.size("tokens") > 0)
+    rows = t.documents.select("doc_id", tokens.alias("tokens"))
     return rows.select("doc_id", F.array_join(X.segment_lengths(F.col("tokens"), "the").cast("array<string>"), ",").alias("lengths"))
 
 

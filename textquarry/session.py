@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -27,19 +29,29 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where it is unset
-    (tests, a laptop) a local temporary folder stands in, and serves for the life of
-    the Spark context.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a local
+    temporary folder stands in if driver and executors are one process (tests, a
+    laptop), and is removed at exit; on a cluster that is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """A table written to the shared folder and read back, so that it is made once."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder for one written table."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -63,13 +63,14 @@ def read_parquet(
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for a scan that comes in fewer splits than there are cores.
+    """On one machine, use every core for a scan that comes in fewer splits than cores.
 
-    A file with one row group is one split. Before row-wise work on texts the rows
-    are dealt out; a large input has more splits than cores and is left alone.
+    A test file with one row group is one split. A cluster reads many files: there a
+    shuffle of the texts would cost more than it gives, and nothing is done.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    context = df.sparkSession.sparkContext
+    alone = context.master.startswith("local[") and df.rdd.getNumPartitions() < context.defaultParallelism
+    return df.repartition(context.defaultParallelism) if alone else df
 
 
 def read_json(

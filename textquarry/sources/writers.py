@@ -9,33 +9,30 @@ from textquarry.operators.filters import tag_rejects
 from textquarry.operators.projections import PUBLISHED
 
 
-def _spread(df: DataFrame, columns: tuple[str, ...], files_per_value: int) -> DataFrame:
-    """Shuffle so that each output folder is written by at most ``files_per_value`` tasks.
+def _gathered(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Bring the rows of an output folder together; adaptive execution splits large folders.
 
-    The row hash next to the folder columns splits a hot folder over several
-    tasks, while small folders do not get one file from every task.
+    A small folder gets one file and not one from every task. A large one is written
+    by as many tasks as its bytes need.
     """
-    if not columns:
-        return df
-    slot = F.pmod(F.xxhash64(*[c for c in df.columns if c not in columns]), F.lit(files_per_value))
-    return df.withColumn("_slot", slot).repartition(*columns, "_slot").drop("_slot")
+    return df.hint("rebalance", *columns) if columns else df
 
 
 def write_jsonl(
-    df: DataFrame, path: str, partition_cols: tuple[str, ...] = (), compression: str = "gzip", files_per_value: int = 8
+    df: DataFrame, path: str, partition_cols: tuple[str, ...] = (), compression: str = "gzip"
 ) -> None:
-    writer = _spread(df, partition_cols, files_per_value).write.mode("overwrite").option("compression", compression)
+    writer = _gathered(df, partition_cols).write.mode("overwrite").option("compression", compression)
     (writer.partitionBy(*partition_cols) if partition_cols else writer).json(path)
 
 
 def write_published(
-    df: DataFrame, path: str, extra: tuple[str, ...] = (), max_records: int = 250_000, files_per_value: int = 8
+    df: DataFrame, path: str, extra: tuple[str, ...] = (), max_records: int = 250_000
 ) -> None:
     """The canonical record as Parquet, one folder per language and extra value (such as a score)."""
     columns = ("language", *extra)
     out = df.select(*[c for c in PUBLISHED.fieldNames()], *extra)
     (
-        _spread(out, columns, files_per_value)
+        _gathered(out, columns)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records)
         .partitionBy(*columns)
@@ -43,10 +40,6 @@ def write_published(
     )
 
 
-def write_parquet(df: DataFrame, path: str, max_records: int = 0) -> None:
-    df.write.mode("overwrite").option("maxRecordsPerFile", max_records).parquet(path)
-
-
 def write_keep_reject(df: DataFrame, keep: Column, reason: Column | str, path: str) -> None:
     """Both sides of a filter from one pass: folders ``kept=true`` and ``kept=false``."""
     tagged = tag_rejects(df, keep, reason).withColumn("kept", F.col("drop_reason").isNull())
