@@ -9,7 +9,7 @@ from textquarry.functions.hashing import let
 from textquarry.functions.text import words
 
 N_GRAM = 13
-# An index of this many n-grams of about 100 bytes stays near 200 MB on an executor.
+# An index of this many 8-byte hashes takes about 100 MB on an executor.
 BROADCAST_NGRAMS = 2_000_000
 
 
@@ -20,11 +20,20 @@ def normalized_words(text: Column) -> Column:
 
 def ngrams(text: Column, n: int = N_GRAM) -> Column:
     """Distinct n-grams of a whole text, each as one string."""
+    return _distinct_slices(text, n, lambda gram: F.array_join(gram, " "))
+
+
+def ngram_hashes(text: Column, n: int = N_GRAM) -> Column:
+    """Distinct 8-byte hashes of the n-grams of a whole text."""
+    return _distinct_slices(text, n, F.xxhash64)
+
+
+def _distinct_slices(text: Column, n: int, of) -> Column:
     def cut(w: Column) -> Column:
         starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(
             F.array().cast("array<int>")
         )
-        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, F.lit(n)), " ")))
+        return F.array_distinct(F.transform(starts, lambda i: of(F.slice(w, i, F.lit(n)))))
 
     return let(normalized_words(text), cut)
 
@@ -50,18 +59,17 @@ def contaminated_ids(
 ) -> DataFrame:
     """Keys of documents that contain an indexed n-gram.
 
-    The index is counted first. Up to the bound it is broadcast and the exploded
-    n-grams never leave their task. A larger index is matched on 8-byte hashes
-    through a shuffle, and hits are confirmed on the text of the n-gram.
+    Documents are matched on 8-byte hashes first; only those with a hit are matched on
+    the n-grams themselves. The index is counted: up to the bound its hashes are
+    broadcast and the exploded ones never leave their task, beyond it they meet
+    through a shuffle.
     """
-    grams = df.select(key, F.explode(ngrams(F.col(text), n)).alias("ngram"))
-    if index.limit(broadcast_ngrams + 1).count() <= broadcast_ngrams:
-        hits = grams.join(F.broadcast(index), "ngram", "left_semi")
-    else:
-        hashed = grams.select(key, F.xxhash64("ngram").alias("h"), "ngram")
-        wanted = index.select(F.xxhash64("ngram").alias("h"), F.col("ngram").alias("wanted"))
-        hits = hashed.join(wanted, "h").where("ngram = wanted")
-    return hits.select(key).distinct()
+    wanted = index.select(F.xxhash64(F.split("ngram", " ")).alias("h")).distinct()
+    small = index.limit(broadcast_ngrams + 1).count() <= broadcast_ngrams
+    hashed = df.select(key, F.explode(ngram_hashes(F.col(text), n)).alias("h"))
+    suspects = hashed.join(F.broadcast(wanted) if small else wanted, "h", "left_semi").select(key).distinct()
+    grams = df.join(suspects, key, "left_semi").select(key, F.explode(ngrams(F.col(text), n)).alias("ngram"))
+    return grams.join(F.broadcast(index) if small else index, "ngram", "left_semi").select(key).distinct()
 
 
 def decontaminate(

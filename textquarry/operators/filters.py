@@ -76,35 +76,69 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def tag_robots(df: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
+def url_target(url: Column) -> Column:
+    """Path and query string of a URL, which crawl rules are matched against."""
+    target = F.regexp_extract(url, "^[a-z]+://[^/?#]*([/?][^#]*)", 1)
+    return F.when(F.startswith(target, F.lit("/")), target).otherwise(F.concat(F.lit("/"), target))
+
+
+def rule_pattern(path: Column) -> Column:
+    """A crawl rule as a regular expression: ``*`` is any text, a last ``$`` is the end of the target."""
+    quoted = F.regexp_replace(path, r"([.?+()\[\]{}|^\\])", r"\\$1")
+    starred = F.replace(quoted, F.lit("*"), F.lit(".*"))
+    ended = F.endswith(starred, F.lit("$"))
+    inner = F.when(ended, F.substr(starred, F.lit(1), F.length(starred) - 1)).otherwise(starred)
+    plain = F.replace(inner, F.lit("$"), F.lit("\\$"))
+    return F.concat(F.lit("^"), plain, F.when(ended, F.lit("$")).otherwise(F.lit("")))
+
+
+def tag_robots(
+    df: DataFrame, rules: DataFrame, url: str = "url", agent: str = "*", must_allow: bool = False
+) -> DataFrame:
     """Crawler opt-out: add ``drop_reason`` from the site's most recent rules.
 
-    ``rules(host, path, allow, malformed)`` holds one row per rule. A malformed
-    file allows everything, otherwise the longest rule that starts the page's
-    path decides, and no such rule allows. A host without rules is dropped. The
-    rules of one host come from one small file and become one row per host. Hosts
-    with very many pages are looked up without gathering their pages.
+    ``rules(host, path, allow, malformed[, agent])`` holds one row per rule. The rules
+    for ``agent`` count if the host has any, otherwise those for ``*``. A malformed file
+    allows everything, otherwise the longest rule that fits the page's path and query
+    decides (allowing wins a tie), where ``*`` and a last ``$`` have their usual
+    meaning. A page that no rule fits is allowed, or dropped with ``must_allow``; a
+    host without rules is dropped. The rules of one host come from one small file and
+    become one row per host. Hosts with very many pages are looked up without
+    gathering their pages.
     """
-    sites = rules.groupBy(F.col("host").alias("_host")).agg(
-        F.bool_or("malformed").alias("_malformed"),
-        F.collect_list(F.struct(F.length("path").alias("n"), "allow", "path")).alias("_rules"),
+    named = rules.withColumn("agent", F.lower("agent") if "agent" in rules.columns else F.lit("*"))
+    rule = F.struct(F.length("path").alias("n"), "allow", "path", "agent", rule_pattern(F.col("path")).alias("pattern"))
+    sites = named.groupBy(F.col("host").alias("_host")).agg(
+        F.bool_or("malformed").alias("_malformed"), F.collect_list(rule).alias("_rules")
     )
+    own = F.filter("_rules", lambda r: r["agent"] == agent.lower())
+    common = F.filter("_rules", lambda r: r["agent"] == "*")
+    sites = sites.withColumn("_rules", F.when(F.size(own) > 0, own).otherwise(common))
     hosted = df.withColumn("_host", url_host(F.col(url)))
     pages = hosted.groupBy("_host").agg(F.count("*").alias("_n"))
     # Hosts without rules too: their pages must not gather either.
     known = pages.join(sites.withColumn("_site", F.col("_host")), "_host", "left")
     joined = lookup_by_frequency(hosted, known, "_host", "_n", [url])
-    path = url_path(F.col(url))
-    matching = F.filter("_rules", lambda r: F.startswith(path, r["path"]))
-    decided = F.array_max(F.transform(matching, lambda r: F.struct(r["n"], r["allow"])))
+    target = url_target(F.col(url))
+
+    def fits(r: Column) -> Column:
+        wild = F.contains(r["path"], F.lit("*")) | F.endswith(r["path"], F.lit("$"))
+        return F.when(wild, F.rlike(target, r["pattern"])).otherwise(F.startswith(target, r["path"]))
+
+    decided = F.array_max(F.transform(F.filter("_rules", fits), lambda r: F.struct(r["n"], r["allow"])))
     reason = (
         F.when(F.col("_site").isNull(), F.lit("robots:unknown_host"))
         .when(F.col("_malformed"), F.lit(None).cast("string"))
-        .when(~F.coalesce(decided["allow"], F.lit(True)), F.lit("robots:disallowed"))
+        .when(~F.coalesce(decided["allow"], F.lit(not must_allow)), F.lit("robots:disallowed"))
     )
     return joined.withColumn("drop_reason", reason).drop("_host", "_n", "_site", "_malformed", "_rules")
 
 
+def filter_quality(df: DataFrame, score: str, above: float = 0.5) -> DataFrame:
+    """Rows with a score above ``above``; a missing score counts as 0."""
+    return df.where(F.coalesce(F.col(score), F.lit(0.0)) > above)
+
+
 def filter_robots(df: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     return tag_robots(df, rules, url).where("drop_reason IS NULL").drop("drop_reason")
 

@@ -57,7 +57,7 @@ def to_published(
         required(language_key, language, "language").alias("language"),
         text.alias("text"),
         (F.col(conversation_key) if conversation_key else F.lit(None)).cast(MESSAGES).alias("messages"),
-        (F.to_json(F.struct(*rest)) if rest else F.lit("{}")).alias("metadata"),
+        (F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}) if rest else F.lit("{}")).alias("metadata"),
     )
 
 

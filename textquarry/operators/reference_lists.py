@@ -66,7 +66,10 @@ def expand_prefixes(prefixes: list[str], languages: list[str] = WIKI_LANGUAGES)
 
 
 def language_map(source: str, target: str) -> dict[str, str]:
-    """Code mapping between ``web``, ``iso1`` and ``iso3``; codes without a target are left out."""
+    """Code mapping between ``web``, ``iso1`` and ``iso3``.
+
+    A language without a two-letter code goes by its three letters there.
+    """
     column = {"web": 0, "iso1": 2, "iso3": 3}
-    pairs = [(row[column[source]], row[column[target]]) for row in LANGUAGES]
+    pairs = [(row[column[source]], row[column[target]] or row[3]) for row in LANGUAGES]
     return {a: b for a, b in pairs if a is not None and b is not None}

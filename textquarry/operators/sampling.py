@@ -17,7 +17,12 @@ def sample_rate(df: DataFrame, rate: float, key: str = "id", seed: int = 42) ->
 
 
 def sample_by(df: DataFrame, repeat: Column, rate: float, key: str = "id", seed: int = 42) -> DataFrame:
-    """Keep each row with probability ``repeat * rate``; a NULL repeat keeps nothing."""
+    """Keep each row with probability ``repeat * rate``; a NULL repeat keeps nothing.
+
+    The largest repeat is 3, so the rate must stay below a third to keep its proportions.
+    """
+    if not 0 <= rate < 1 / 3:
+        raise ValueError("rate must be at least 0 and below 1/3")
     return df.where(uniform(key, seed=seed) < F.coalesce(repeat, F.lit(0.0)) * rate)
 
 

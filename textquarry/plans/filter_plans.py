@@ -67,6 +67,51 @@ def robots_reasons(t):
     return X.tag_robots(t.pages, crawl_rules(t)).select("page_id", "drop_reason")
 
 
+def agent_rules(t):
+    """Rules per host with agents, a wildcard and an end mark, from the pages' own targets."""
+    target = X.url_target(F.col("url"))
+    rules = t.pages.select(X.url_host(F.col("url")).alias("host"), F.substr(target, F.lit(1), F.lit(6)).alias("p"), target.alias("whole"))
+    kinds = F.array(
+        F.struct(F.lit("*").alias("agent"), F.concat("p", F.lit("*7")).alias("path"), F.lit(False).alias("allow")),
+        F.struct(F.lit("OurBot").alias("agent"), F.concat("whole", F.lit("$")).alias("path"), F.lit(True).alias("allow")),
+        F.struct(F.lit("ourbot").alias("agent"), F.col("p").alias("path"), F.lit(False).alias("allow")),
+    )
+    named = rules.select("host", F.explode(kinds).alias("k")).select("host", "k.*").distinct()
+    # Half of the hosts name the agent.
+    seen = named.where((F.col("agent") == "*") | (uniform("host", seed="agent") < 0.5))
+    return seen.where((F.col("allow") == F.lit(False)) | (uniform("path", seed="exact") < 0.5)).withColumn("malformed", F.lit(False))
+
+
+_TARGET = "(CASE WHEN starts_with(t0, '/') THEN t0 ELSE '/' || t0 END)"
+_AGENT_SQL = f"""WITH u AS (SELECT page_id, {_HOST} AS host, regexp_extract(url, '^[a-z]+://[^/?#]*([/?][^#]*)', 1) AS t0 FROM pages),
+        g AS (SELECT page_id, host, {_TARGET} AS target FROM u),
+        named AS (SELECT DISTINCT host, {S.uniform('host', seed='agent')} < 0.5 AS own FROM g),
+        p AS (SELECT DISTINCT host, substr(target, 1, 6) AS p FROM g),
+        e AS (SELECT DISTINCT host, target FROM g WHERE {S.uniform("(target || '$')", seed='exact')} < 0.5),
+        common AS (SELECT page_id, bool_or(starts_with(g.target, p.p) AND contains(substr(g.target, length(p.p) + 1), '7')) AS hit FROM g JOIN p USING (host) GROUP BY page_id),
+        mine AS (SELECT page_id, bool_or(starts_with(g.target, p.p)) AS hit, max(CASE WHEN starts_with(g.target, p.p) THEN length(p.p) END) AS n FROM g JOIN p USING (host) GROUP BY page_id),
+        exact AS (SELECT page_id, count(e.target) > 0 AS hit FROM g LEFT JOIN e ON e.host = g.host AND e.target = g.target GROUP BY page_id)"""
+
+
+@query(
+    "robots_agent", "F2 J7",
+    f"""{_AGENT_SQL} SELECT page_id, CASE WHEN own THEN CASE WHEN exact.hit THEN NULL WHEN mine.hit THEN 'robots:disallowed' END
+               WHEN common.hit THEN 'robots:disallowed' END AS drop_reason
+        FROM g JOIN named USING (host) JOIN common USING (page_id) JOIN mine USING (page_id) JOIN exact USING (page_id)""",
+)
+def robots_agent(t):
+    return X.tag_robots(t.pages, agent_rules(t), agent="OurBot").select("page_id", "drop_reason")
+
+
+@query(
+    "robots_must_allow", "F2 J7",
+    f"""{_AGENT_SQL} SELECT page_id, CASE WHEN own AND exact.hit THEN NULL ELSE 'robots:disallowed' END AS drop_reason
+        FROM g JOIN named USING (host) JOIN exact USING (page_id)""",
+)
+def robots_must_allow(t):
+    return X.tag_robots(t.pages, agent_rules(t), agent="OurBot", must_allow=True).select("page_id", "drop_reason")
+
+
 @query(
     "latest_rules", "F3 W1 W12",
     """SELECT user_id, event_type, event_id, value FROM events
@@ -108,11 +153,11 @@ def filter_not_in(t):
 @query(
     "filter_quality", "F9",
     """SELECT event_id, printf('%.2f', round_even(value / 100 / 0.05, 0) * 0.05) AS quality_score_rounded
-       FROM events WHERE value / 100 > 0.5""",
+       FROM events WHERE event_type <> 'click' AND value / 100 > 0.5""",
 )
 def filter_quality(t):
-    scored = t.events.withColumn("score", F.col("value") / 100)
-    return scored.where(F.col("score") > 0.5).select(
+    scored = t.events.withColumn("score", F.when(F.col("event_type") != "click", F.col("value") / 100))
+    return X.filter_quality(scored, "score").select(
         "event_id", L.rounded_quality(F.col("score")).alias("quality_score_rounded")
     )
 

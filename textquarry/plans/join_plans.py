@@ -102,6 +102,20 @@ def decontaminate_clean(t):
     return C.decontaminate(t.documents, C.build_ngram_index(t.benchmark), broadcast_ngrams=0)[0].select("doc_id", "n_chars")
 
 
+@query(
+    "decontaminate_query", "J6",
+    f"SELECT doc_id, n_chars FROM documents WHERE doc_id IN ({_contaminated_sql(13)})",
+)
+def decontaminate_query(t):
+    # Each item is a query and its answer; together with the seam they have the n-grams of the whole.
+    w = C.normalized_words(F.col("text"))
+    half = F.greatest(F.floor(F.size(w) / 2).cast("int"), F.lit(0))
+    items = t.benchmark.select(
+        F.array_join(F.slice(w, F.lit(1), half), " ").alias("query"), F.array_join(F.slice(w, half + 1, F.size(w)), " ").alias("text")
+    )
+    return C.decontaminate(t.documents, C.build_ngram_index(items, query="query"))[1].select("doc_id", "n_chars")
+
+
 @query(
     "parameter_grid", "J9",
     """SELECT n_name, r.length FROM nation, (VALUES (4096), (8192), (16384)) r(length)

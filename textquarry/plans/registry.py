@@ -31,6 +31,7 @@ PLAN_MODULES = [
     "quality_plans",
     "packing_plans",
     "streaming_plans",
+    "web_plans",
 ]
 
 

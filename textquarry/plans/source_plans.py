@@ -173,9 +173,10 @@ def scan_by_path_regex(t):
     return readers.filter_path_rlike(back, "lang=(fr|es)/").select("doc_id", "lang")
 
 
-@query("scan_limit", "S13")
+@query("scan_limit", "S13", "SELECT least(count(*), 100)::BIGINT AS n, least(count(DISTINCT doc_id), 100)::BIGINT AS ids FROM documents")
 def scan_limit(t):
-    return readers.read_parquet(t.spark, f"{t.folder}/documents.parquet", id_key="doc_id", limit=100).select("id", "lang")
+    rows = readers.read_parquet(t.spark, f"{t.folder}/documents.parquet", id_key="doc_id", limit=100)
+    return rows.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
 
 
 @query(

@@ -334,7 +334,11 @@ def tokenize_regional(t):
     return tokenize(t.documents).select("doc_id", "n_tokens")
 
 
-@query("clean_unicode", "T33")
+@query(
+    "clean_unicode", "T33",
+    """WITH c AS (SELECT doc_id, nfc_normalize(replace(text, chr(13), '') || 'e' || chr(769)) AS text FROM documents)
+       SELECT doc_id, length(text)::INT AS n_chars, md5(text) AS digest FROM c""",
+)
 def clean_unicode(t):
     from textquarry.operators.tokens import clean_unicode as clean
 
