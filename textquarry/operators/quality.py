@@ -7,6 +7,7 @@ definition below is our own.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
@@ -230,29 +231,38 @@ def duplicate_line_share(text: Column) -> Column:
 def repetition_shares(text: str, top: tuple[int, ...] = (2, 3, 4), dup: tuple[int, ...] = (5, 6, 7, 8, 9, 10)) -> list[float]:
     """Character shares of the most frequent short n-gram, and of repeated long n-grams.
 
-    Repeats are found from left to right and do not overlap.
+    Repeats are found from left to right and do not overlap. N-grams are numbered by
+    sorting; once all of a size differ, so do all longer ones.
     """
-    tokens, chars, out = text.split(), max(len(text), 1), []
-    for n in top:
-        seen: dict[str, int] = {}
-        for i in range(len(tokens) - n + 1):
-            gram = " ".join(tokens[i : i + n])
-            seen[gram] = seen.get(gram, 0) + 1
-        best = max(seen.items(), key=lambda e: (e[1], len(e[0])), default=("", 0))
-        out.append(len(best[0]) * best[1] / chars if best[1] > 1 else 0.0)
-    for n in dup:
-        met: set[str] = set()
-        repeated = i = 0
-        while i <= len(tokens) - n:
-            gram = "".join(tokens[i : i + n])
-            if gram in met:
-                repeated += len(gram)
-                i += n
-            else:
-                met.add(gram)
-                i += 1
-        out.append(repeated / chars)
-    return out
+    tokens, chars = text.split(), max(len(text), 1)
+    shares = dict.fromkeys((*top, *dup), 0.0)
+    numbers: dict[str, int] = {}
+    ids = np.array([numbers.setdefault(t, len(numbers)) for t in tokens], np.int64)
+    before = np.concatenate(([0], np.cumsum([len(t) for t in tokens]))).astype(np.int64)
+    codes = ids
+    for n in range(2, min(max(shares), len(tokens)) + 1):
+        pairs = codes[:-1] * len(numbers) + ids[n - 1 :]
+        _, first, codes, counts = np.unique(pairs, return_index=True, return_inverse=True, return_counts=True)
+        most = counts.max()
+        if most == 1:
+            break
+        if n in top:
+            starts = first[counts == most]
+            longest = int((before[starts + n] - before[starts]).max()) + n - 1
+            shares[n] = longest * int(most) / chars
+        if n in dup:
+            met: set[int] = set()
+            repeated = i = 0
+            listed = codes.tolist()
+            while i < len(listed):
+                if listed[i] in met:
+                    repeated += int(before[i + n] - before[i])
+                    i += n
+                else:
+                    met.add(listed[i])
+                    i += 1
+            shares[n] = repeated / chars
+    return [shares[n] for n in (*top, *dup)]
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))

@@ -15,7 +15,7 @@ from textquarry.operators.ordering import (
     running,
     split_ranges,
 )
-from textquarry.session import shared_folder
+from textquarry.session import shared_folder, written
 
 
 def ordered_distinct(values: Column) -> Column:
@@ -27,8 +27,9 @@ def run_ids(
     df: DataFrame, order: list[str], key: str, name: str = "run_id", rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Number the runs of adjacent rows with an equal key."""
-    cut = split_ranges(df, order, rows_per_range)
-    seen = previous(cut, order, {"_before": key}, rows_per_range)
+    # Written twice, each time before the table is read for counts, bounds, totals and rows.
+    cut = split_ranges(written(df, "ordered"), order, rows_per_range)
+    seen = written(previous(cut, order, {"_before": key}, rows_per_range), "neighbours")
     start = (~F.col("_before").eqNullSafe(F.col(key))).cast("bigint")
     numbered_runs = running(seen, order, {name: start}, rows_per_range=rows_per_range)
     return numbered_runs.drop("_before", "_range")
@@ -210,12 +211,16 @@ def geometric_chunks(
 
 
 def with_offsets(df: DataFrame, order: list[str], size: Column, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Start offset of each document in the concatenated token stream, and its document number."""
+    """Start offset of each document in the concatenated token stream, and its document number.
+
+    Pass only the columns that are needed: the table is written once before it is ordered.
+    """
+    sized = written(df.withColumn("_size", size.cast("bigint")), "sizes")
     out = running(
-        df, order, {"_upto": size.cast("bigint"), "_n": F.lit(1).cast("bigint")}, rows_per_range=rows_per_range
+        sized, order, {"_upto": F.col("_size"), "_n": F.lit(1).cast("bigint")}, rows_per_range=rows_per_range
     )
     return out.select(
-        *df.columns, (F.col("_upto") - size.cast("bigint")).alias("offset"), (F.col("_n") - 1).alias("doc_index")
+        *df.columns, (F.col("_upto") - F.col("_size")).alias("offset"), (F.col("_n") - 1).alias("doc_index")
     )
 
 

@@ -46,34 +46,37 @@ def merge_chunks(t):
     )
 
 
-def _three_turns(t):
-    convs = X.collapse_turns(tagged_turns(t)).withColumn("messages", F.slice("messages", 1, 3))
-    return convs.where(F.size("messages") == 3)
+def _three_turns(turns):
+    """Every three neighbouring messages of a conversation; a dialogue has exactly three."""
+    convs = X.collapse_turns(turns)
+    starts = F.sequence(F.lit(0), F.size("messages") - 3)
+    cut = convs.where(F.size("messages") >= 3).withColumn("start", F.explode(starts))
+    return cut.withColumn("messages", F.slice("messages", F.col("start") + 1, 3)).withColumn(
+        "part_id", F.concat_ws("-", "conv_id", "start")
+    )
 
 
-_THREE_SQL = """WITH u AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)
-    SELECT conv_id, max(CASE WHEN rn = 2 THEN text END) AS q, max(CASE WHEN rn = 3 THEN text END) AS a, max(CASE WHEN rn = 3 THEN role END) AS role, max(CASE WHEN rn = 3 THEN turn END) AS turn
-    FROM u WHERE n >= 3 GROUP BY conv_id"""
+_THREE_SQL = """WITH u AS (SELECT conv_id, row_number() OVER w AS rn, lead(text, 1) OVER w AS q, lead(text, 2) OVER w AS a FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+    SELECT conv_id || '-' || (rn - 1) AS part_id, q, a FROM u WHERE a IS NOT NULL"""
 
 
 @query("render_dialogue", "T11")
 def render_dialogue(t):
-    return X.render_dialogue(_three_turns(t), "conv_id", "fr", keep_thinking=True).select("conv_id", "text")
+    return X.render_dialogue(_three_turns(tagged_turns(t)), "part_id", "fr", keep_thinking=True).select("part_id", "text")
 
 
 def _label(options, seed):
-    return S.pick(options, "conv_id", seed=seed)
+    return S.pick(options, "part_id", seed=seed)
 
 
 @query(
     "render_dialogue_plain", "T11",
-    rf"""WITH c AS ({_THREE_SQL}), l AS (SELECT conv_id, q, a, {_label(X.PROBLEM_LABELS['en'], '42-problem')} AS p, {_label(X.SOLUTION_LABELS['en'], '42-solution')} AS s FROM c)
-         SELECT conv_id, md5(regexp_replace(p || chr(10) || q || chr(10) || CASE p WHEN '' THEN '' WHEN 'user:' THEN 'assistant:' ELSE s END || chr(10) || a,
+    rf"""WITH c AS ({_THREE_SQL}), l AS (SELECT part_id, q, a, {_label(X.PROBLEM_LABELS['en'], '42-problem')} AS p, {_label(X.SOLUTION_LABELS['en'], '42-solution')} AS s FROM c)
+         SELECT part_id, md5(regexp_replace(p || chr(10) || q || chr(10) || CASE p WHEN '' THEN '' WHEN 'user:' THEN 'assistant:' ELSE s END || chr(10) || a,
                 '^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$', '', 'g')) AS digest FROM l""",
 )
 def render_dialogue_plain(t):
-    convs = X.collapse_turns(t.conversations).withColumn("messages", F.slice("messages", 1, 3)).where(F.size("messages") == 3)
-    return X.render_dialogue(convs, "conv_id").select("conv_id", F.md5("text").alias("digest"))
+    return X.render_dialogue(_three_turns(t.conversations), "part_id").select("part_id", F.md5("text").alias("digest"))
 
 
 @query(
