@@ -314,6 +314,12 @@ def test_pack_columns_known_batch(spark):
     assert row.tokens[:69] == ids[:69] and row.labels[:69] == ids[1:70] and row.tokens[138:] == [1] * 6
     assert row.position_ids == [*range(69), *range(69), *[0] * 6]
     assert sum(row.loss_mask) == 90 and row.loss_mask[69 + 24] == 1
+    fixed = P.pack_columns(df, pad_id=1, max_length=160, pad_to_max_length=True, cu_size=6).first()
+    assert len(fixed.tokens) == len(fixed.labels) == len(fixed.loss_mask) == 160
+    assert fixed.cu_seqlens == [0, 69, 138, 160, 160, 160] and fixed.cu_seqlens_unpadded == [0, 69, 138, 138, 138, 138]
+    for wrong in ({"max_length": 100}, {"cu_size": 3}):
+        with pytest.raises(Exception, match="longer than max_length|more sequences"):
+            P.pack_columns(df, pad_id=1, **wrong).collect()
 
 
 @pytest.mark.parametrize("algorithm", ["first_fit_shuffle", "first_fit_decreasing"])

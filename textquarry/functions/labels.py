@@ -68,22 +68,24 @@ def expected_score(label_probs: Column) -> Column:
     )
 
 
+# Language of sets by a part of their name, and parts of which one must also be there.
+LANGUAGE_BY_NAME = [
+    ("nemotron-post", ("think", "stem"), "cot"),
+    ("numina", (), "math"),
+    ("open-thoughts", (), "cot"),
+    ("stack-math-qa", (), "math"),
+    ("open-r1", (), "cot"),
+    ("open-code-reasoning", (), "cot"),
+]
+
+
 def dataset_language(name: Column, language: Column) -> Column:
     """Override the language of reasoning and mathematics sets by their name."""
-    def has(part: str) -> Column:
-        return F.contains(name, F.lit(part))
+    def test(part: str, also: tuple[str, ...]) -> Column:
+        found = F.contains(name, F.lit(part))
+        return found & name.rlike("|".join(also)) if also else found
 
-    return _first_match(
-        [
-            (has("nemotron-post") & (has("think") | has("stem")), F.lit("cot")),
-            (has("numina"), F.lit("math")),
-            (has("open-thoughts"), F.lit("cot")),
-            (has("stack-math-qa"), F.lit("math")),
-            (has("open-r1"), F.lit("cot")),
-            (has("open-code-reasoning"), F.lit("cot")),
-        ],
-        language,
-    )
+    return _first_match([(test(part, also), F.lit(value)) for part, also, value in LANGUAGE_BY_NAME], language)
 
 
 def language_family(language: Column) -> Column:

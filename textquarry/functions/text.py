@@ -63,7 +63,11 @@ def camel_to_words(value: Column) -> Column:
     return F.regexp_replace(value, "(?<!^)(?=[A-Z])", " ")
 
 
-def pascal_case(value: Column, all_caps: tuple[str, ...] = ("hq", "insee", "hal", "hplt2")) -> Column:
+# Name parts written in capitals.
+ALL_CAPS = ("hq", "insee", "hal", "hplt2")
+
+
+def pascal_case(value: Column, all_caps: tuple[str, ...] = ALL_CAPS) -> Column:
     """Capitalize ``_``/``-`` separated parts and glue them; listed parts go upper-case."""
     parts = F.filter(F.split(value, "[_-]+"), lambda p: p != "")
     return F.array_join(

@@ -137,12 +137,16 @@ def ceil_to_multiple(n: Column, multiple: int) -> Column:
     return (F.ceil(n / multiple) * multiple).cast("int")
 
 
-def pack_columns(packs: DataFrame, pad_id: int, multiple: int = 16, max_length: int = 2048) -> DataFrame:
+def pack_columns(
+    packs: DataFrame, pad_id: int, multiple: int = 16, max_length: int = 2048, pad_to_max_length: bool = False,
+    cu_size: int | None = None,
+) -> DataFrame:
     """Training arrays of packed samples, padded to a multiple.
 
     Tokens lose the last and labels the first token of every sequence. Adds the
     position inside the sequence, the cumulative lengths (closed at the padded
-    length) and those without padding.
+    length) and those without padding. ``pad_to_max_length`` gives all packs one length,
+    and ``cu_size`` all lists of cumulative lengths one size, by repeating the last entry.
     """
     ids, edges = F.col("input_ids"), F.col("seq_boundaries")
     parts = packs.select(
@@ -153,7 +157,7 @@ def pack_columns(packs: DataFrame, pad_id: int, multiple: int = 16, max_length:
         F.transform(_sequences(ids, edges, 0, 1), lambda s: F.size(s)).alias("_lengths"),
     )
     n = F.size("_tokens")
-    padded = F.least(ceil_to_multiple(n, multiple), F.lit(max_length))
+    padded = F.lit(max_length) if pad_to_max_length else F.least(ceil_to_multiple(n, multiple), F.lit(max_length))
     over = F.raise_error(F.lit("a pack is longer than max_length")).cast("int")
     parts = parts.withColumns({"_n": n, "_padded": F.when(n > max_length, over).otherwise(padded)})
 
@@ -164,6 +168,14 @@ def pack_columns(packs: DataFrame, pad_id: int, multiple: int = 16, max_length:
         F.transform("_lengths", lambda k: F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>")))
     )
     cu = boundaries(F.col("_lengths"))
+
+    def sized(edges: Column) -> Column:
+        if cu_size is None:
+            return edges
+        missing = F.lit(cu_size) - F.size(edges)
+        over = F.raise_error(F.lit("a pack has more sequences than cu_size allows")).cast("int")
+        return F.concat(edges, F.array_repeat(F.element_at(edges, -1), F.when(missing < 0, over).otherwise(missing)))
+
     closing = F.when(F.col("_n") != F.col("_padded"), F.array("_padded")).otherwise(F.array().cast("array<int>"))
     repeated = F.when(F.col("_n") != F.col("_padded"), F.array("_n")).otherwise(F.array().cast("array<int>"))
     return parts.select(
@@ -173,8 +185,8 @@ def pack_columns(packs: DataFrame, pad_id: int, multiple: int = 16, max_length:
         pad(F.col("_mask"), 0).alias("loss_mask"),
         pad(positions, 0).alias("position_ids"),
         F.col("_n").alias("token_count"),
-        F.concat(cu, closing).alias("cu_seqlens"),
-        F.concat(cu, repeated).alias("cu_seqlens_unpadded"),
+        sized(F.concat(cu, closing)).alias("cu_seqlens"),
+        sized(F.concat(cu, repeated)).alias("cu_seqlens_unpadded"),
         F.array_max("_lengths").alias("max_seqlen"),
     )
 

@@ -228,7 +228,7 @@ def citation_report(df: DataFrame, expected: str = "supporting_facts_titles") ->
     )
 
 
-# Fixed value: separator of context blocks.
+# Separator of context blocks, and the title line of a block.
 CONTEXT_SEPARATOR = "\n----------\n\n"
 _BLOCK = r"\n?\[([^\]]+)\]\n"
 
@@ -278,13 +278,16 @@ CITATION_STYLES = [
 ]
 REFERENCES_HEADER = {"en": "**References**", "fr": "**Références**"}
 END_OF_COMPLETION_SHARE = 0.30
+# The citation mark, and its looser forms in double and single quotes.
 _CITE = r'##Cite "([^"]*)"##'
+_LOOSE_CITES = [r'##Cite\s+"([^"]*?)"\s*##', r"##Cite\s+'([^']*?)'\s*##"]
 
 
 def normalize_citations(text: Column) -> Column:
     """All citation marks in double quotes and without extra blanks."""
-    double = F.regexp_replace(text, r'##Cite\s+"([^"]*?)"\s*##', '##Cite "$1"##')
-    return F.regexp_replace(double, r"##Cite\s+'([^']*?)'\s*##", '##Cite "$1"##')
+    for loose in _LOOSE_CITES:
+        text = F.regexp_replace(text, loose, '##Cite "$1"##')
+    return text
 
 
 def _styled(template: str, title: str) -> str:

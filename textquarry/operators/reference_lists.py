@@ -27,30 +27,30 @@ KNOWN_URL_PREFIXES = [
     "www.oecd.org/{lan}/data/datasets.html",
 ]
 
-# Fixed values: (web-crawl code, English name, two-letter code or None, three-letter code).
+# Fixed values: (web-crawl code, two-letter code or None, three-letter code).
 LANGUAGES = [
-    ("eng_Latn", "English", "en", "eng"),
-    ("acf_Latn", "Saint Lucian Creole French", None, "acf"),
-    ("bre_Latn", "Breton", "br", "bre"),
-    ("cos_Latn", "Corsican", "co", "cos"),
-    ("deu_Latn", "German", "de", "deu"),
-    ("fra_Latn", "French", "fr", "fra"),
-    ("frp_Latn", "Franco-Provençal (Arpitan)", None, "frp"),
-    ("gcr_Latn", "Guianese Creole French", None, "gcr"),
-    ("nld_Latn", "Dutch", "nl", "nld"),
-    ("pcd_Latn", "Picard", None, "pcd"),
-    ("rcf_Latn", "Réunion Creole French", None, "rcf"),
-    ("tah_Latn", "Tahitian", "ty", "tah"),
-    ("arb_Arab", "Modern Standard Arabic", "ar", "arb"),
-    ("cat_Latn", "Catalan", "ca", "cat"),
-    ("crs_Latn", "Seselwa Creole French", None, "crs"),
-    ("eus_Latn", "Basque", "eu", "eus"),
-    ("gcf_Latn", "Guadeloupean Creole French", None, "gcf"),
-    ("ita_Latn", "Italian", "it", "ita"),
-    ("oci_Latn", "Occitan", "oc", "oci"),
-    ("por_Latn", "Portuguese", "pt", "por"),
-    ("spa_Latn", "Spanish", "es", "spa"),
-    ("wln_Latn", "Walloon", "wa", "wln"),
+    ("eng_Latn", "en", "eng"),
+    ("acf_Latn", None, "acf"),
+    ("bre_Latn", "br", "bre"),
+    ("cos_Latn", "co", "cos"),
+    ("deu_Latn", "de", "deu"),
+    ("fra_Latn", "fr", "fra"),
+    ("frp_Latn", None, "frp"),
+    ("gcr_Latn", None, "gcr"),
+    ("nld_Latn", "nl", "nld"),
+    ("pcd_Latn", None, "pcd"),
+    ("rcf_Latn", None, "rcf"),
+    ("tah_Latn", "ty", "tah"),
+    ("arb_Arab", "ar", "arb"),
+    ("cat_Latn", "ca", "cat"),
+    ("crs_Latn", None, "crs"),
+    ("eus_Latn", "eu", "eus"),
+    ("gcf_Latn", None, "gcf"),
+    ("ita_Latn", "it", "ita"),
+    ("oci_Latn", "oc", "oci"),
+    ("por_Latn", "pt", "por"),
+    ("spa_Latn", "es", "spa"),
+    ("wln_Latn", "wa", "wln"),
 ]
 
 # Metadata that never reaches the published record.
@@ -70,6 +70,6 @@ def language_map(source: str, target: str) -> dict[str, str]:
 
     A language without a two-letter code goes by its three letters there.
     """
-    column = {"web": 0, "iso1": 2, "iso3": 3}
-    pairs = [(row[column[source]], row[column[target]] or row[3]) for row in LANGUAGES]
+    column = {"web": 0, "iso1": 1, "iso3": 2}
+    pairs = [(row[column[source]], row[column[target]] or row[2]) for row in LANGUAGES]
     return {a: b for a, b in pairs if a is not None and b is not None}

@@ -62,14 +62,22 @@ def clean_unicode(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def fit_template(
-    df: DataFrame, parts: str, max_len: int, fields: list[str], side: str = "right"
+    df: DataFrame, parts: str, max_len: int, fields: list[str], side: str = "right",
+    virtual_tokens: int = 0, tokens_to_generate: int = 0, special_tokens: int = 0,
 ) -> DataFrame:
     """Truncate template parts until they fit ``max_len`` tokens together.
 
+    Virtual prompt tokens, tokens still to be generated and special tokens (start,
+    separator, end) count towards the limit but are not part of the template.
+
     ``parts`` is an array of ``struct(key, ids)``. The excess is shared equally by
     the truncation fields (earlier fields take the remainder); what is still too
     long is taken from whole parts, starting at the given side.
     """
+    max_len = max_len - virtual_tokens - tokens_to_generate - special_tokens
+    if max_len < 0:
+        raise ValueError("nothing is left for the template")
+
     def total(p: Column) -> Column:
         return F.aggregate(p, F.lit(0), lambda a, x: a + F.size(x["ids"]))
 
@@ -116,8 +124,3 @@ def role_loss_mask(messages: Column, role: str = "assistant") -> Column:
             lambda m: F.array_repeat(F.when(m["role"] == role, 1).otherwise(0), F.size(words(m["content"]))),
         )
     )
-
-
-def answer_start(mask: Column) -> Column:
-    """Where the last answer begins: after the last 0 of the mask."""
-    return F.size(mask) - F.array_position(F.reverse(mask), 0).cast("int") + 1

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textquarry.functions.labels import length_bucket
 from textquarry.functions.text import PRETOKEN_PLAIN, n_words, pretokens
-from textquarry.operators.filters import split_keep_reject
+from textquarry.operators.filters import tag_rejects
 from textquarry.operators.projections import to_published
 from textquarry.plans.registry import query
 from textquarry.plans.sqlbits import n_words as sql_words
@@ -35,10 +35,7 @@ def sink_published(t):
     f"""SELECT doc_id, CASE WHEN {sql_words('text')} > 50 THEN NULL ELSE 'too_short' END AS drop_reason FROM documents""",
 )
 def keep_reject(t):
-    kept, rejected = split_keep_reject(t.documents, n_words(F.col("text")) > 50, "too_short")
-    return kept.select("doc_id", F.lit(None).cast("string").alias("drop_reason")).unionByName(
-        rejected.select("doc_id", "drop_reason")
-    )
+    return tag_rejects(t.documents, n_words(F.col("text")) > 50, "too_short").select("doc_id", "drop_reason")
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textquarry.plans.registry import query
 from textquarry.session import scratch_path
-from textquarry.sources import readers
+from textquarry.sources import readers, writers
 
 
 @query(
@@ -57,7 +57,7 @@ def scan_stats_csv(t):
     stats = t.documents.groupBy(F.col("source").alias("name")).agg(
         F.sum("n_chars").alias("total_tokens"), F.count("*").alias("total_sequences")
     )
-    stats.write.option("header", True).csv(path)
+    writers.write_summary(stats, path)
     return readers.read_stats_csv(
         t.spark, path, "name string, total_tokens bigint, total_sequences bigint"
     )

@@ -47,7 +47,7 @@ def stream_resume(t):
 
 @query(
     "stream_merge_chunks", "R3",
-    f"SELECT conv_id::VARCHAR AS id, outcome, digest FROM ({_MERGED_SQL}) WHERE outcome <> 'incomplete'",
+    f"SELECT conv_id::VARCHAR AS id, outcome, digest FROM ({_MERGED_SQL}) ",
 )
 def merge_arriving_chunks(t):
     source, out, mark = (scratch_path(t.spark, x) for x in ("arriving", "merged", "progress"))
@@ -61,12 +61,15 @@ def merge_arriving_chunks(t):
 
     def run():
         stream = X.stream_merge_chunks(X.stream_documents(t.spark, source, schema, "parquet"))
-        X.run_to_parquet(stream.select("id", "outcome", F.md5("text").alias("digest")), out, mark)
+        digest = F.when(F.col("outcome") != "incomplete", F.md5("text"))
+        X.run_to_parquet(stream.select("id", "outcome", digest.alias("digest")), out, mark)
 
     chunks.where(first).write.parquet(source)
     run()
     chunks.where(~first).write.mode("append").parquet(source)
     run()
+    X.end_marks(chunks).write.mode("append").parquet(source)
+    run()
     return t.spark.read.parquet(out)
 
 
@@ -80,8 +83,15 @@ def stream_step_stats(t):
     t.events.select(
         F.col("event_type").alias("run"), F.col("value").alias("step_seconds"), F.col("ts").cast("timestamp").alias("logged_at")
     ).repartition(4, "run").write.parquet(source)
-    stream = X.stream_documents(t.spark, source, "run string, step_seconds double, logged_at timestamp", "parquet")
-    X.run_latest_table(X.stream_step_stats(stream, "1 day", "60 days", limit=200), out, mark)
+    def run():
+        stream = X.stream_documents(t.spark, source, "run string, step_seconds double, logged_at timestamp", "parquet")
+        X.run_to_parquet(X.stream_step_stats(stream, "1 day", "60 days", limit=200), out, mark)
+
+    run()
+    # A last row far in the future moves the watermark past all windows.
+    end = t.events.select((F.max("ts").cast("timestamp") + F.expr("INTERVAL 90 DAYS")).alias("logged_at"))
+    end.select(F.lit("end").alias("run"), F.lit(0.0).alias("step_seconds"), "logged_at").write.mode("append").parquet(source)
+    run()
     live = t.spark.read.parquet(out)
     return live.select(
         "run", F.date_format("window_start", "yyyy-MM-dd").alias("day"), "steps",

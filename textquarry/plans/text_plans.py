@@ -377,7 +377,10 @@ def fit_template(t):
             F.struct(F.lit("label").alias("key"), F.array(*[F.lit(w) for w in "abcd"]).alias("ids")),
         ).alias("parts"),
     )
-    out = fit(rows, "parts", max_len=32, fields=["question"], side="right")
+    # 40 tokens in all, 8 of them outside the template.
+    out = fit(
+        rows, "parts", max_len=40, fields=["question"], side="right", virtual_tokens=2, tokens_to_generate=3, special_tokens=3
+    )
     return out.select(
         "conv_id", "turn", F.size(F.get("parts", F.lit(1))["ids"]).alias("kept_question"),
         F.aggregate("parts", F.lit(0), lambda a, p: a + F.size(p["ids"])).alias("n_tokens"),

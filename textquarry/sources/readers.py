@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DOCUMENT = "id string, text string"
 STATS = (
@@ -182,7 +181,7 @@ def filter_path_rlike(df: DataFrame, pattern: str, path: Column | None = None) -
 
 
 def read_shuffled(
-    spark: SparkSession, paths: list[str], key: str = "id", seed: int = 42, slices: int | None = None
+    spark: SparkSession, paths: list[str], key: str = "id", seed: int = 42
 ) -> DataFrame:
     """Several parquet files in one pseudo-random order.
 
@@ -197,7 +196,3 @@ def concat_sources(sources: dict[str, DataFrame], into: str = "dataset") -> Data
     """All sources under one another, each marked with its name; missing columns are NULL."""
     marked = [df.withColumn(into, F.lit(name)) for name, df in sources.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
-
-
-def struct_type(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)

@@ -36,21 +36,6 @@ def run_to_parquet(df: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def run_latest_table(df: DataFrame, path: str, checkpoint: str) -> None:
-    """Keep a small aggregate up to date: every batch rewrites the whole result."""
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    query = (
-        df.writeStream.foreachBatch(replace)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("complete")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-
-
 _MERGE_OUTPUT = "id string, text string, outcome string"
 _MERGE_STATE = "chunk_ids array<int>, texts array<string>, stopped boolean"
 
@@ -59,10 +44,11 @@ def stream_merge_chunks(df: DataFrame, sep: str = "\n\n", timeout_ms: int | None
     """Hold the chunks of each document until all have come, then emit the text.
 
     The outcome is ``merged``, ``rejected`` if a chunk did not finish with ``stop``,
-    or ``incomplete`` for documents still waiting after ``timeout_ms``. The state of
-    a document is its own text, and is dropped with the emission. Give a timeout
-    only to a stream that runs on: a clock that can always tick keeps a run of what
-    is available from ending. Without one, leftovers wait for the next run.
+    or ``incomplete`` for documents still waiting after ``timeout_ms`` or at their end
+    mark: a row with a negative ``chunk_id``, as ``end_marks`` makes them once the input
+    is complete. The state of a document is its own text, and is dropped with the
+    emission. Give a timeout only to a stream that runs on: a clock that can always tick
+    keeps a run of what is available from ending.
     """
     def merge(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         doc_id = key[0]
@@ -72,17 +58,24 @@ def stream_merge_chunks(df: DataFrame, sep: str = "\n\n", timeout_ms: int | None
             state.remove()
             yield pd.DataFrame({"id": [doc_id], "text": [sep.join(ordered)], "outcome": ["incomplete"]})
             return
-        total = None
+        total, ended = None, False
         for pdf in batches:
+            ended |= bool((pdf["chunk_id"] < 0).any())
+            pdf = pdf[pdf["chunk_id"] >= 0]
+            if pdf.empty:
+                continue
             chunk_ids += [int(c) for c in pdf["chunk_id"]]
             texts += list(pdf["text"])
             stopped = bool(stopped and (pdf["finish_reason"] == "stop").all())
             total = int(pdf["num_chunks"].iloc[0])
-        if len(chunk_ids) == total:
+        if ended and not chunk_ids:
+            return
+        if len(chunk_ids) == total or ended:
+            whole = len(chunk_ids) == total
             ordered = [x for _, x in sorted(zip(chunk_ids, texts))]
             if state.exists:
                 state.remove()
-            yield pd.DataFrame({"id": [doc_id], "text": [sep.join(ordered)], "outcome": ["merged" if stopped else "rejected"]})
+            yield pd.DataFrame({"id": [doc_id], "text": [sep.join(ordered)], "outcome": [("merged" if stopped else "rejected") if whole else "incomplete"]})
         else:
             state.update((chunk_ids, texts, stopped))
             if timeout_ms is not None:
@@ -94,9 +87,17 @@ def stream_merge_chunks(df: DataFrame, sep: str = "\n\n", timeout_ms: int | None
     )
 
 
+def end_marks(chunks: DataFrame) -> DataFrame:
+    """One end mark per document of a chunk table, to be sent after its last chunk."""
+    return chunks.select("id").distinct().select(
+        "id", F.lit("").alias("text"), F.lit(-1).alias("chunk_id"), F.lit(-1).alias("num_chunks"), F.lit("end").alias("finish_reason")
+    )
+
+
 def stream_step_stats(df: DataFrame, window: str = "5 minutes", late: str = "10 minutes", limit: float | None = None) -> DataFrame:
     """Step times per run and time window while a run is going on.
 
+    A window is emitted once, when the watermark has passed it, and its state is dropped.
     With a ``limit`` the result tells in which windows a step took longer, which is
     the signal to stop the run.
     """
