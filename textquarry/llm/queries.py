@@ -108,3 +108,15 @@ def op4_html(spark: SparkSession, folder: str) -> DataFrame:
     from textquarry.llm.html_paths import extract_pages
 
     return extract_pages(_table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+SQL["op10_repeats"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+     windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS g
+                 FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM w)),
+     later AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+     gone AS (SELECT DISTINCT doc_id, i + k AS i FROM later, range(20) t(k)),
+     kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
