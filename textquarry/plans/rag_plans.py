@@ -22,11 +22,11 @@ def qa_rows(t):
     """
     convs = collapse_turns(t.conversations)
     users = F.filter("messages", lambda m: m["role"] == "user")
-    last = F.element_at(F.filter("messages", lambda m: m["role"] == "assistant"), -1)["content"]
-    base = convs.where(F.exists("messages", lambda m: m["role"] == "assistant")).select(
+    last = F.try_element_at(F.filter("messages", lambda m: m["role"] == "assistant"), F.lit(-1))["content"]
+    base = convs.select(
         F.concat(F.lit("c"), "conv_id").alias("id"), "conv_id",
-        users[0]["content"].alias("question"),
-        F.array_join(F.slice(words(last), 1, 4), " ").alias("answer"),
+        F.get(users, F.lit(0))["content"].alias("question"),
+        F.array_join(words(last), " ").alias("answer"),
         F.transform(users, lambda m, i: F.concat(F.lit("Passage "), (i + 1).cast("string"))).alias("titles"),
         F.transform(users, lambda m: F.array(m["content"])).alias("sentences"),
     )
@@ -57,14 +57,17 @@ def qa_rows(t):
     )
 
 
-_LAST = "list_aggregate((regexp_extract_all(last, '[^ \\t\\n\\r\\f\\x0B]+'))[1:4], 'string_agg', ' ')"
+_LAST = "list_aggregate(regexp_extract_all(last, '[^ \\t\\n\\r\\f\\x0B]+'), 'string_agg', ' ')"
 _QA_SQL = f"""qa0 AS (SELECT conv_id, count(*) FILTER (WHERE role = 'user') AS users, arg_max(text, turn) FILTER (WHERE role = 'assistant') AS last FROM conversations GROUP BY conv_id),
-    qa AS (SELECT conv_id, users, {_LAST} AS answer FROM qa0 WHERE last IS NOT NULL)"""
+    qa AS (SELECT conv_id, users, {_LAST} AS answer FROM qa0)"""
+# Longer findings than 299 characters are no answers; asterisks are not part of one.
+_SAID = "CASE conv_id % 4 WHEN 0 THEN 'The ' || answer || '!' WHEN 1 THEN answer || ' indeed' WHEN 2 THEN 'something else' END"
+_FOUND = f"(CASE WHEN length(replace({_SAID}, '*', '')) BETWEEN 1 AND 299 THEN replace({_SAID}, '*', '') END)"
 
 
 @query(
     "extract_answer", "T23",
-    f"""WITH {_QA_SQL} SELECT conv_id, CASE conv_id % 4 WHEN 0 THEN 'The ' || answer || '!' WHEN 1 THEN answer || ' indeed' WHEN 2 THEN 'something else' END AS extracted FROM qa""",
+    f"""WITH {_QA_SQL} SELECT conv_id, {_FOUND} AS extracted FROM qa""",
 )
 def extract_answer(t):
     return qa_rows(t).select("conv_id", A.extract_answer(F.col("reasoning_trace")).alias("extracted"))
@@ -151,7 +154,7 @@ def _norm(expr: str) -> str:
     return S.squeeze(rf"regexp_replace({out}, '[^\p{{L}}\p{{N}}_ \t\n\r\f\x0B]', '', 'g')")
 
 
-_SCORED_SQL = f"""{_QA_SQL}, a AS (SELECT *, CASE conv_id % 4 WHEN 0 THEN 'The ' || answer || '!' WHEN 1 THEN answer || ' indeed' WHEN 2 THEN 'something else' END AS x FROM qa),
+_SCORED_SQL = f"""{_QA_SQL}, a AS (SELECT *, {_FOUND} AS x FROM qa),
     n AS (SELECT conv_id, x, {_norm('answer')} AS e, {_norm('x')} AS o FROM a),
     l AS (SELECT *, list_distinct(list_filter(string_split(e, ' '), lambda z: z <> '')) AS ew, list_distinct(list_filter(string_split(o, ' '), lambda z: z <> '')) AS ow FROM n),
     k AS (SELECT conv_id, CASE WHEN conv_id % 10 = 9 THEN 'unanswerable' WHEN x IS NULL THEN 'none' WHEN e = o THEN 'exact'
