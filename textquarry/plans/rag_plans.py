@@ -260,7 +260,16 @@ def assemble_context(t):
     return out.select("id", "chunks_relevant", "chunks_background_initial", "chunks_background_removed", "chunks_total")
 
 
-@query("assembled_text", "SP9")
+_TEXT_SQL = f"""WITH s AS ({_ASSEMBLE_SQL}),
+    m AS (SELECT 'c' || conv_id AS id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations WHERE role = 'user'),
+    p AS (SELECT *, i % 2 = 1 AS removable, {S.uniform('id', 'i', seed='42-drop')} AS u, {S.uniform('id', 'i', seed='42-order')} AS v FROM m),
+    k AS (SELECT *, row_number() OVER (PARTITION BY id, removable ORDER BY u, i) AS rn FROM p),
+    t AS (SELECT id, string_agg('[Passage ' || (i + 1) || ']' || chr(10) || trim(text), chr(10) || chr(10) ORDER BY v, i) AS context_text
+          FROM k JOIN s USING (id) WHERE NOT removable OR rn <= chunks_background_initial - chunks_background_removed GROUP BY id)
+    SELECT id, coalesce(context_text, '') AS context_text FROM s LEFT JOIN t USING (id)"""
+
+
+@query("assembled_text", "SP9", _TEXT_SQL)
 def assembled_text(t):
     return X.assemble_context(qa_rows(t)).select("id", "context_text")
 
