@@ -367,3 +367,17 @@ def test_perplexity_by_hand(spark):
 def test_uniform_is_uniform(spark):
     row = spark.range(4000).select(uniform("id").alias("u")).agg(F.avg("u"), F.min("u"), F.max("u")).first()
     assert abs(row[0] - 0.5) < 0.02 and row[1] >= 0 and row[2] < 1
+
+
+@pytest.mark.parametrize("ranked_rows", [100_000, 0])
+def test_smallest_hashes_refine_the_edge_bin(spark, monkeypatch, ranked_rows):
+    from textquarry.operators import sampling as Y
+
+    monkeypatch.setattr(Y, "HASH_BINS", 4)
+    monkeypatch.setattr(Y, "RANKED_ROWS", ranked_rows)
+    df = spark.range(500).withColumn("u", uniform("id", seed=42))
+    ordered = [r["id"] for r in df.orderBy("u", "id").collect()]
+    for n in (0, 1, 137, 500, 900):
+        chosen, rest = Y.smallest_hashes(df, n, "id")
+        assert {r["id"] for r in chosen.collect()} == set(ordered[:n])
+        assert {r["id"] for r in rest.collect()} == set(ordered[n:])

@@ -72,29 +72,37 @@ def sample_n(
 
 
 HASH_BINS = 65_536
+# The hash has 32 bits, so a bin of a bin is a single value of it.
+LEVELS = 2
+RANKED_ROWS = 100_000
 
 
 def smallest_hashes(df: DataFrame, n: int, key: str, seed: int | str = 42) -> tuple[DataFrame, DataFrame]:
     """The ``n`` rows with the smallest hash of the key, and the other rows."""
     u = uniform(key, seed=seed)
-    bins = df.groupBy(F.floor(u * HASH_BINS).cast("int").alias("b")).count().orderBy("b")
-    below = 0
-    edge, missing = HASH_BINS, 0
-    # At most HASH_BINS counters.
-    for row in bins.toLocalIterator():
-        if below + row["count"] >= n:
-            edge, missing = row["b"], n - below
+    low, width, below = 0.0, 1.0, 0
+    for _ in range(LEVELS):
+        inside = df.select(u.alias("u")).where((F.col("u") >= low) & (F.col("u") < low + width))
+        step = width / HASH_BINS
+        bins = inside.groupBy(F.floor((F.col("u") - low) / step).cast("int").alias("b")).count().orderBy("b")
+        edge, held = None, 0
+        # At most HASH_BINS counters.
+        for row in bins.toLocalIterator():
+            if below + row["count"] >= n:
+                edge, held = row["b"], row["count"]
+                break
+            below += row["count"]
+        if edge is None:
+            return df, df.limit(0)
+        low, width = low + edge * step, step
+        if held <= RANKED_ROWS:
             break
-        below += row["count"]
-    if edge == HASH_BINS:
-        return df, df.limit(0)
-    bin_of = F.floor(u * HASH_BINS)
-    # The edge bin holds about one in HASH_BINS rows; its first rows by (hash, key) complete the sample.
-    border = df.where(bin_of == edge).select(u.alias("u"), F.col(key).alias("k")).orderBy("u", "k")
-    last = border.limit(missing).agg(F.max(F.struct("u", "k")).alias("last"))
+    # Few rows are left in the edge bin; its first ones by (hash, key) complete the sample.
+    border = df.select(u.alias("u"), F.col(key).alias("k")).where((F.col("u") >= low) & (F.col("u") < low + width))
+    last = border.orderBy("u", "k").limit(n - below).agg(F.max(F.struct("u", "k")).alias("last"))
     position = F.struct(u.alias("u"), F.col(key).alias("k"))
     marked = df.join(F.broadcast(last), F.lit(True), "left").withColumn(
-        "_in", F.coalesce((bin_of < edge) | (position <= F.col("last")), F.lit(False))
+        "_in", F.coalesce((u < low) | (position <= F.col("last")), F.lit(False))
     )
     return marked.where("_in").drop("_in", "last"), marked.where("NOT _in").drop("_in", "last")
 
