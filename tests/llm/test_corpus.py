@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
-from conftest import WORD, prose
+from made_up import WORD, prose
 from tokenizers import Tokenizer
 
 import corpus_pipeline

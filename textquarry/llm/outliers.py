@@ -140,8 +140,8 @@ def _pooled(rows: DataFrame, min_rows: int) -> DataFrame:
     return _with_groups(named, materialize(chosen, "groups"), ["_l", "_s"]).drop("_l", "_s")
 
 
-def _distance(names: list[str]) -> Column:
-    """Squared Mahalanobis distance from the center ``m_i`` with the Cholesky factor ``c_i_j``."""
+def _distance(names: list[str]) -> list[Column]:
+    """The unknowns ``y_i`` of the Cholesky factor ``c_i_j`` times ``y`` equals the distance from the center ``m_i``."""
     solved: list[Column] = []
     for i, name in enumerate(names):
         rest = F.col(name) - F.col(f"m_{i}")
