@@ -81,7 +81,10 @@ def test_published_needs_language(spark):
     df = spark.createDataFrame([("1", "pre: body", "pre: ", None)], "id string, text string, prefix string, lang string")
     out = R.to_published(df, source="s", language="fr", remove_prefix=True, remove_keys=("prefix",))
     assert out.schema.fieldNames() == R.PUBLISHED.fieldNames()
-    assert out.first().text == "body" and out.first().metadata == "{}"
+    # What is missing stays visible in the metadata.
+    assert out.first().text == "body" and out.first().metadata == '{"lang":null}'
+    bare = R.to_published(df, source="s", language="fr", remove_keys=("prefix", "lang"))
+    assert bare.first().metadata == "{}"
     with pytest.raises(Exception, match="language must be given"):
         R.to_published(df, source="s", language_key="lang").collect()
 
