@@ -224,6 +224,20 @@ def test_every_run_of_an_item_has_a_seed():
             assert at & set(range(start, start + contamination.SEED_SPAN))
 
 
+@pytest.mark.parametrize("hot", [1, 40])
+def test_edited_copies_beside_exact_ones(spark, make_docs, hot):
+    items = [(i, prose(20_000 + i, 40)) for i in range(8)]
+    rows = []
+    for i, text in items:
+        edited = " ".join("edited" if k % 6 == 3 else w for k, w in enumerate(text.split()))
+        rows += [(1000 * i + c, f"{prose(i, 50)} {text}") for c in range(hot)]
+        rows.append((1000 * i + 999, f"{prose(90 + i, 50)} {edited} {prose(190 + i, 50)}"))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in contamination.find_leaks(make_docs(rows), benchmark).collect()}
+    assert got == {(doc_id, doc_id // 1000) for doc_id, _ in rows}
+    assert contamination.drop_leaks(make_docs(rows), benchmark).count() == 0
+
+
 # ---------------------------------------------------------------- packs
 
 

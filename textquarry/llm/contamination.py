@@ -1,12 +1,10 @@
-"""Benchmark leaks: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark leaks: n-gram seeds, then Smith-Waterman alignment.
 
-The corpus frequency of every n-gram of the test items is counted over all documents.
-Of each few neighbouring n-grams of an item the rarest that occur at all are seeds, so no
-run of an item can be copied without one, however common its words are, and the n-grams
-that an editor has broken everywhere don't stand in for those that are left. Where a document holds a
-seed, the passage around it is aligned with the item word by word, which finds edited
-and paraphrased copies; passages that share too few words to reach the least score are
-skipped by an exact bound.
+The n-grams of the test items are counted over all documents, and every one that occurs is
+a seed: an edited copy is found by whatever n-grams its editor left, however often the others
+stand elsewhere. Where a document holds a seed, the passage around it is aligned with the item
+word by word, which finds edited and paraphrased copies; passages that share too few words to
+reach the least score are skipped by an exact bound.
 
 Items are taken in blocks of ``BLOCK_CHARS`` characters, so an index is always small,
 and every block is held against all documents.
@@ -30,8 +28,8 @@ from textquarry.llm.common import materialize, slices, text_of
 from textquarry.llm.global_order import global_order
 
 GRAM = 3
-# The rarest n-grams of each run of SEED_SPAN: a copied run of GRAM + SEED_SPAN - 1 words has them.
-SEED_SPAN, SEEDS_PER_SPAN = 8, 3
+# Any copied run of GRAM words has a seed, so one of GRAM + SEED_SPAN - 1 words has SEED_SPAN.
+SEED_SPAN = 8
 MATCH, MISMATCH, GAP = 2.0, -2.0, -2.0
 # Least alignment score as a share of the item's score with itself.
 MIN_SCORE = 0.4
@@ -106,17 +104,12 @@ class ItemIndex:
         return held[same], at[same]
 
     def choose_seeds(self, frequency: np.ndarray) -> None:
-        """The rarest n-grams of every ``SEED_SPAN`` neighbours in an item (the first of equals)."""
+        """All n-grams of all items that occur in some document."""
         places: dict[int, list[tuple[int, int]]] = {}
         for item, words in enumerate(self.words):
             codes = self._codes(words)
             documents = frequency[np.searchsorted(self.grams, codes)]
-            rarity = np.where(documents > 0, documents, np.iinfo(np.int64).max)
-            chosen: set[int] = set()
-            for start in range(max(1, len(codes) - SEED_SPAN + 1)):
-                rarest = np.argsort(rarity[start : start + SEED_SPAN], kind="stable")[:SEEDS_PER_SPAN]
-                chosen.update(start + int(at) for at in rarest if documents[start + at])
-            for at in sorted(chosen):
+            for at in np.flatnonzero(documents).tolist():
                 places.setdefault(int(codes[at]), []).append((item, at))
         self.seeds = np.array(sorted(places), np.int64)
         self.places = [places[code] for code in self.seeds.tolist()]
@@ -145,6 +138,8 @@ class ItemIndex:
             for low, high in spans:
                 passage = words[low:high]
                 # No alignment matches more words than the two have in common.
+                if MATCH * np.isin(passage, own).sum() < need:
+                    continue
                 shared = Counter(passage[passage > 0].tolist()) & have
                 if MATCH * shared.total() < need:
                     continue
