@@ -167,6 +167,16 @@ def test_one_of_each_group_stays(make_docs):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want) and kept.columns == docs.columns
 
 
+def test_one_row_of_each_group_stays(make_docs):
+    rows = [(None, prose(1, 60)), (None, prose(2, 60)), (None, prose(2, 60)), (1, prose(3, 60)), (1, prose(3, 60))]
+    # Id 2 has a text of its own and a copy of the text of id 1.
+    rows += [(2, prose(3, 60)), (2, prose(4, 60)), (None, prose(4, 60)), (5, None), (None, "")]
+    want = collections.Counter([(None, prose(1, 60)), (None, prose(2, 60)), (1, prose(3, 60)), (2, prose(4, 60)), (5, None)])
+    docs = make_docs(rows)
+    for kept in (simhash.keep_one_per_group(docs),):
+        assert collections.Counter((r["doc_id"], r["text"]) for r in kept.collect()) == want
+
+
 # ---------------------------------------------------------------- leaks
 
 

@@ -117,11 +117,37 @@ def simhash_groups(
     )
 
 
-def keep_one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their group.
+def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Exactly one row of ``docs`` for each ``component`` of ``doc_id, h1, h2, component``.
 
-    Rows that repeat an id are kept together. A group of NULL ids only keeps none.
+    A row is known by its id and text (``h1`` and ``h2`` are ``xxhash64(text)`` and
+    ``xxhash64(42, text)``): of a group the smallest stays, NULL ids last, and of rows equal in
+    both any one.
     """
-    groups = simhash_groups(docs, shingle, radius)
-    keep = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, docs["doc_id"] == keep["_keep"], "left_semi")
+    row = ["_null", "doc_id", "h1", "h2"]
+    least = groups.withColumn("_null", F.col("doc_id").isNull()).groupBy("component").agg(F.min(F.struct(*row)).alias("_row"))
+    keep = materialize(least.select(*[F.col(f"_row.{c}").alias(f"_keep_{c}") for c in row[1:]]), "kept-rows")
+    text = text_of("text")
+    marked = docs.withColumns({"_keep_1": F.xxhash64(text), "_keep_2": F.xxhash64(F.lit(SEED), text)})
+    same = (
+        marked["doc_id"].eqNullSafe(keep["_keep_doc_id"])
+        & (marked["_keep_1"] == keep["_keep_h1"])
+        & (marked["_keep_2"] == keep["_keep_h2"])
+    )
+    return marked.join(keep, same, "left_semi").dropDuplicates(["doc_id", "_keep_1", "_keep_2"]).select(*docs.columns)
+
+
+def keep_one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """One row of ``docs`` for each group of ``simhash_groups`` (see ``keep_one``)."""
+    text = text_of("text")
+    keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(SEED), text).alias("h2"))
+    named = keyed.withColumn("_name", F.struct("doc_id", "h1", "h2"))
+    fps = materialize(fingerprints(named, shingle, "_name"), "fingerprints")
+    components = materialize(
+        connected_components(near_links(materialize(fps.select("fp").distinct(), "distinct-fingerprints"), radius)),
+        "components",
+    )
+    groups = fps.join(components.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "doc_id.*", F.coalesce("component", "fp").alias("component")
+    )
+    return keep_one(docs, groups)
