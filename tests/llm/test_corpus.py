@@ -16,6 +16,7 @@ import corpus_pipeline
 from textquarry.llm import contamination, packing, repeats, sharding, simhash
 from textquarry.llm.components import connected_components
 from textquarry.llm.global_order import global_order
+from textquarry.llm.near_copies import keep_one_per_copy, shingles
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -116,6 +117,16 @@ def near_copies():
     return rows
 
 
+def near_copies_of_each():
+    """Originals of 200 words with copies that have 1 to 9 words changed."""
+    rows = []
+    for g in range(20):
+        words = prose(300 + g, 200).split()
+        for c in range(10):
+            rows.append((len(rows), " ".join(f"new{c}" if k % 20 == g and k // 20 < c else w for k, w in enumerate(words))))
+    return rows
+
+
 def test_groups_equal_brute_force(make_docs, odd_rows):
     rows = odd_rows + near_copies() + [(2000, "ONE Two"), (2001, "one two"), (2002, "É one"), (2003, "é one")]
     check_groups(simhash.simhash_groups(make_docs(rows)), rows)
@@ -173,10 +184,18 @@ def test_one_row_of_each_group_stays(make_docs):
     rows += [(2, prose(3, 60)), (2, prose(4, 60)), (None, prose(4, 60)), (5, None), (None, "")]
     want = collections.Counter([(None, prose(1, 60)), (None, prose(2, 60)), (1, prose(3, 60)), (2, prose(4, 60)), (5, None)])
     docs = make_docs(rows)
-    for kept in (simhash.keep_one_per_group(docs),):
+    for kept in (simhash.keep_one_per_group(docs), keep_one_per_copy(docs)):
         assert collections.Counter((r["doc_id"], r["text"]) for r in kept.collect()) == want
 
 
+def test_stage_drops_near_copies(make_docs):
+    rows = near_copies_of_each()
+    kept = corpus_pipeline.near_duplicates(None, make_docs(rows), "").collect()
+    sets = [set(shingles(t).tolist()) for _, t in rows]
+    roots = brute_components(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    assert len(kept) == len(set(roots)) < len(rows)
+
+
 # ---------------------------------------------------------------- leaks
 
 
