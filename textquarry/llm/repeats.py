@@ -1,11 +1,11 @@
-"""Repeated passages by seed and extend.
+"""Repeated passages by anchored windows.
 
 Anchors are winnowed: of every window of ``window`` words, the word ``GRAM``-gram with the
 least hash is an anchor, so equal windows have an equal anchor at an equal place.
 Documents meet on anchors; one that occurs once in the corpus cannot lie in a repeat
-and is dropped. Every other seed is extended both ways to each whole window that it
-anchors, the first occurrence of each window is looked up, and runs of windows that
-start earlier somewhere else are the maximal repeats: their words are removed.
+and is dropped. No pair of documents is extended word by word: every whole window with
+a shared anchor is hashed and held against its first occurrence, which avoids all pairs
+on hot anchors. The words of windows that occur earlier somewhere else are removed.
 
 Neither a frequent anchor nor a frequent window gathers its occurrences anywhere. Both
 are aggregates with one row for each key; what goes back to the documents is only where
