@@ -110,6 +110,32 @@ def op4_html(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(_table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+@_query
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    from textquarry.llm.common import id_crc, text_of
+    from textquarry.llm.periodic_runs import find_runs, loop_tail
+
+    docs = _table(spark, folder, "documents")
+    looped = docs.select("doc_id", loop_tail(text_of("text"), id_crc("doc_id")).alias("text"))
+    listed = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    best = F.col("strongest")
+    return find_runs(looped).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(F.lit(1000) * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", listed), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text that isn't empty, in DuckDB's SQL."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    bits = "list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda crc, b: {bits}), 4294967295)"
+
+
 SQL["op10_repeats"] = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
      words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
@@ -120,3 +146,27 @@ WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0
      kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)"""
+
+
+# Equal words at a distance q, in unbroken stretches, are runs of period q unless a smaller period covers them.
+SQL["op11_runs"] = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_crc32("doc_id::VARCHAR")} AS h FROM documents),
+     g AS (SELECT *, len(w) AS n, h // 10 AS g FROM d),
+     a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM g),
+     p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+     words AS (SELECT doc_id, i, w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END] AS word
+               FROM (SELECT *, unnest(range(n)) AS i FROM p)),
+     n AS (SELECT doc_id, n FROM p),
+     same AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i
+              JOIN n ON n.doc_id = x.doc_id WHERE (y.i - x.i) * 4 <= n.n),
+     stretches AS (SELECT doc_id, q, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k, i FROM same),
+     long AS (SELECT doc_id, min(i) AS s, count(*) + q AS l, q FROM stretches GROUP BY doc_id, q, k
+              HAVING count(*) + q >= greatest(6, 4 * q)),
+     runs AS (SELECT * FROM long r WHERE NOT EXISTS (SELECT 1 FROM long o WHERE o.doc_id = r.doc_id AND o.q < r.q AND o.s <= r.s AND o.s + o.l >= r.s + r.l)),
+     listed AS (SELECT doc_id, count(*) AS n, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS text FROM runs GROUP BY doc_id),
+     best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY l::DOUBLE / q DESC, s, q) = 1),
+     gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+     kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(listed.n, 0)::BIGINT AS n_runs, s::BIGINT AS start, l::BIGINT AS length, q::BIGINT AS period,
+       (1000 * l // q)::BIGINT AS exponent_milli, sha256(coalesce(listed.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM n LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)"""
