@@ -129,6 +129,32 @@ def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    from textquarry.llm import conversation_repair as repair
+    from textquarry.llm.common import materialize
+
+    original = _table(spark, folder, "conversations")
+    damaged = repair.damage(original)
+    audits = materialize(repair.audit_conversations(damaged), "audits")
+    digests = repair.digest_conversations(repair.repair_conversations(damaged, audits))
+    ids = original.groupBy("conv_id").agg(F.count("*").alias("_rows"))
+    found = [
+        df.select(F.col("conv_id").alias(f"_{k}"), F.lit(True).alias(f"_in{k}"), *[c for c in df.columns if c != "conv_id"])
+        for k, df in enumerate((audits, digests))
+    ]
+    joined = ids
+    for k, df in enumerate(found):
+        joined = joined.join(df, joined["conv_id"].eqNullSafe(df[f"_{k}"]), "left")
+    nothing = F.sha2(F.lit(""), 256)
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )
+
+
 def _crc32(text: str) -> str:
     """CRC-32 of an ASCII text that isn't empty, in DuckDB's SQL."""
     codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
@@ -170,3 +196,44 @@ WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0
 SELECT doc_id, coalesce(listed.n, 0)::BIGINT AS n_runs, s::BIGINT AS start, l::BIGINT AS length, q::BIGINT AS period,
        (1000 * l // q)::BIGINT AS exponent_milli, sha256(coalesce(listed.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
 FROM n LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+# Left to right instead of by spans: the least (cost, audit) of each state after each turn.
+SQL["op12_conversations"] = rf"""
+WITH RECURSIVE
+     moves(role, p, q) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+     inserts(p, q, c, a, lines) AS (VALUES (0, 0, 0, '', []::VARCHAR[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+         (0, 2, 3, 'I', ['user:']), (1, 2, 3, 'I', ['user:']), (3, 2, 3, 'I', ['user:']), (2, 3, 3, 'I', ['assistant:']),
+         (0, 3, 6, 'II', ['user:', 'assistant:']), (1, 3, 6, 'II', ['user:', 'assistant:'])),
+     crc AS (SELECT *, {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS k FROM conversations),
+     damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+                        CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+                        unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM crc WHERE k <> 0),
+     placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS r FROM damaged),
+     judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+                               WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                               WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault,
+                       lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS pair FROM placed),
+     counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+                       count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+                       count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM judged GROUP BY conv_id),
+     best(conv_id, i, q, c, a, lines) AS (
+         SELECT conv_id, 0::BIGINT, q, c, a, lines FROM (SELECT DISTINCT conv_id FROM judged), inserts WHERE p = 0
+         UNION ALL
+         SELECT conv_id, i, q, c, a, lines FROM (
+             SELECT b.conv_id, j.i, e.q, b.c + m.c + e.c AS c, b.a || m.a || e.a AS a, b.lines || m.lines || e.lines AS lines
+             FROM best b JOIN judged j ON j.conv_id = b.conv_id AND j.i = b.i + 1,
+                  LATERAL (SELECT b.q, 4 AS c, 'D' AS a, []::VARCHAR[] AS lines
+                           UNION ALL
+                           SELECT v.q, CASE WHEN j.fault = 3 THEN 3 ELSE 0 END, 'K', [j.role || ':' || j.text] FROM moves v
+                           WHERE v.p = b.q AND v.role = j.r AND j.fault IN (0, 3)
+                           UNION ALL
+                           SELECT v.q, CASE WHEN j.fault = 3 THEN 6 ELSE 3 END, 'R', [CASE v.q WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || j.text]
+                           FROM moves v WHERE v.p = b.q AND v.role <> 's' AND j.fault IN (0, 3)) m(q, c, a, lines)
+             JOIN inserts e ON e.p = m.q)
+         QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY c, a) = 1),
+     ended AS (SELECT b.* FROM best b JOIN counts n ON n.conv_id = b.conv_id AND n.n = b.i WHERE q IN (0, 3)
+               QUALIFY row_number() OVER (PARTITION BY b.conv_id ORDER BY c, a) = 1)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(c, 0)::BIGINT AS cost,
+       coalesce(a, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts n ON n.conv_id = o.conv_id LEFT JOIN ended e ON e.conv_id = o.conv_id"""
