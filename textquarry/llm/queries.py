@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textquarry.llm.licenses import LEAST, LEAST_WIDTH, PHRASES, TEMPLATES
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -155,6 +157,23 @@ def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op13_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    from textquarry.llm.licenses import scan_licenses
+
+    starts = F.col("places.word")
+    return scan_licenses(_table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def _crc32(text: str) -> str:
     """CRC-32 of an ASCII text that isn't empty, in DuckDB's SQL."""
     codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
@@ -237,3 +256,27 @@ SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
        coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(c, 0)::BIGINT AS cost,
        coalesce(a, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts n ON n.conv_id = o.conv_id LEFT JOIN ended e ON e.conv_id = o.conv_id"""
+
+_LICENSE_WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+# Every block against every template.
+SQL["op13_licenses"] = f"""
+WITH t(template, label, w) AS (SELECT k, label, {_LICENSE_WORDS.format("x")} FROM (VALUES {", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(TEMPLATES))}) v(k, label, x)),
+     templates AS (SELECT template, label, list_distinct(w) AS words, greatest({LEAST_WIDTH}, (2 ** ceil(log2(len(w))))::BIGINT) AS width,
+                          ceil({LEAST} * len(list_distinct(w)) - 1e-9) AS alpha FROM t),
+     d AS (SELECT doc_id, {_LICENSE_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+     phrases(label, p) AS (VALUES {", ".join(f"('{label}', {text.split()})" for label, text in PHRASES)}),
+     places AS (SELECT doc_id, label, i FROM (SELECT *, unnest(range(len(w))) AS i FROM d), phrases WHERE w[i + 1:i + len(p)] = p),
+     base AS (SELECT doc_id, count(*) AS n, min(i) AS f, max(i) AS l FROM places GROUP BY doc_id),
+     blocks AS (SELECT doc_id, width, w[block * width + 1:(block + 2) * width] AS b
+                FROM (SELECT doc_id, w, width, unnest(range(greatest(1, ceil(len(w) / width)::BIGINT - 1))) AS block FROM d, (SELECT DISTINCT width FROM templates))),
+     pairs AS (SELECT doc_id, label, len(list_intersect(words, b)) AS shared, len(words) AS n, alpha FROM blocks JOIN templates USING (width)),
+     matches AS (SELECT doc_id, label, max(shared / n) AS c FROM pairs WHERE shared >= alpha GROUP BY doc_id, label),
+     best AS (SELECT doc_id, max(c) AS c FROM matches GROUP BY doc_id),
+     base_labels AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS x FROM (SELECT DISTINCT doc_id, label FROM places) GROUP BY doc_id),
+     labels AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS x
+                FROM (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM matches) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, f::BIGINT AS first_word, l::BIGINT AS last_word,
+       coalesce(base_labels.x, '') AS base_labels, coalesce(labels.x, '') AS labels,
+       CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE coalesce(best.c, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN base_labels USING (doc_id) LEFT JOIN labels USING (doc_id) LEFT JOIN best USING (doc_id)"""
