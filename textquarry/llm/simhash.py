@@ -128,13 +128,20 @@ def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
     least = groups.withColumn("_null", F.col("doc_id").isNull()).groupBy("component").agg(F.min(F.struct(*row)).alias("_row"))
     keep = materialize(least.select(*[F.col(f"_row.{c}").alias(f"_keep_{c}") for c in row[1:]]), "kept-rows")
     text = text_of("text")
-    marked = docs.withColumns({"_keep_1": F.xxhash64(text), "_keep_2": F.xxhash64(F.lit(SEED), text)})
+    # The row stays in one column, whatever its columns are called.
+    marked = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("_whole"),
+        docs["doc_id"].alias("_id"),
+        F.xxhash64(text).alias("_1"),
+        F.xxhash64(F.lit(SEED), text).alias("_2"),
+    )
     same = (
-        marked["doc_id"].eqNullSafe(keep["_keep_doc_id"])
-        & (marked["_keep_1"] == keep["_keep_h1"])
-        & (marked["_keep_2"] == keep["_keep_h2"])
+        marked["_id"].eqNullSafe(keep["_keep_doc_id"])
+        & (marked["_1"] == keep["_keep_h1"])
+        & (marked["_2"] == keep["_keep_h2"])
     )
-    return marked.join(keep, same, "left_semi").dropDuplicates(["doc_id", "_keep_1", "_keep_2"]).select(*docs.columns)
+    kept = marked.join(keep, same, "left_semi").dropDuplicates(["_id", "_1", "_2"])
+    return kept.select(*[F.col("_whole")[c].alias(c) for c in docs.columns])
 
 
 def keep_one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
