@@ -135,6 +135,31 @@ def test_numbers(spark):
     assert match(0.029, 2.9, "percent") and not match(1.0, 2.0, "")
 
 
+def test_written_forms_of_numbers(spark):
+    texts = {
+        "1,234,567.5 and 12,3456": [1234567.5, 12.0, 3456.0],  # only groups of three belong together
+        "1234,567": [1234.0, 567.0],
+        "1,23": [1.0, 23.0],
+        "(12) (-3) -4 5-6": [-12.0, -3.0, -4.0, 5.0, -6.0],
+        "($5) -$6 $(7) €8": [-5.0, -6.0, -7.0, 8.0],  # currency signs don't hide a sign
+        "(9%) (10)% 11%": [-9.0, -10.0, 11.0],
+        "(in 2019) (2020 2021": [2021.0],  # one bracket only
+        "3.4.5 .5 6. a1b": [3.4, 5.0, 5.0, 6.0, 1.0],
+        "none - ( ) , % $": [],
+        "": [],
+    }
+    for text, want in texts.items():
+        assert one(spark, A.numbers(F.lit(text))) == want, text
+    tokens = {
+        " (1,234) ": -1234.0, "2.9 %": 2.9, "$5": 5.0, "€ -5": -5.0, "(-5)": -5.0, "1,234.": 1234.0, ".5": 0.5, "1e3": 1000.0,
+        "1,23": None, "12,345,6": None, "(5": None, "5)": None, "": None, "abc": None, "1 2": None, "%": None,
+    }
+    for token, want in tokens.items():
+        assert one(spark, A.parse_number(F.lit(token))) == want, token
+    assert one(spark, A.parse_number(F.lit(None).cast("string"))) is None
+
+
+
 def test_answers(spark):
     def kind(e, x):
         return one(spark, A.match_type(F.lit(e), F.lit(x).cast("string")))
