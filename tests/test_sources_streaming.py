@@ -6,7 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from textquarry.sources import readers, writers
-from textquarry.streaming.documents import run_to_parquet, stream_documents, stream_merge_chunks
+from textquarry.sources.zst import write_jsonl_zst
+from textquarry.streaming.documents import (
+    KEYED_STATE,
+    StopAtLimit,
+    run_to_parquet,
+    stream_dedup,
+    stream_documents,
+    stream_merge_chunks,
+)
 
 
 def test_broken_lines_are_kept(spark, tmp_path):
@@ -62,15 +70,108 @@ def test_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
         shared_folder(lost)
 
 
-def test_stream_merges_across_runs(spark, tmp_path):
+HOUR = "2025-01-01 {:02d}:00:00"
+
+
+def test_zst_lines_of_many_frames(spark, tmp_path):
+    import zstandard
+
+    # One frame a line, as appending writers leave them, and a text far longer than a block.
+    lines = [json.dumps({"id": str(i), "text": f"é{i} " * (1 + i % 3)}) for i in range(200)]
+    (tmp_path / "a.jsonl.zst").write_bytes(b"".join(zstandard.compress(f"{x}\n".encode()) for x in lines))
+    long = json.dumps({"id": "long", "text": "word " * 400_000})
+    (tmp_path / "b.jsonl.zst").write_bytes(zstandard.compress(f"{long}\n{{broken\n".encode()))
+    df = readers.read_jsonl(spark, str(tmp_path), "id string, text string, _corrupt_record string", "*.jsonl.zst")
+    rows = {r.id: r.n for r in df.select("id", F.length("text").alias("n")).collect()}
+    assert len(rows) == 202 and rows["long"] == 2_000_000 and rows["7"] == 6
+    assert spark.read.schema("id string").json(str(tmp_path / "b.jsonl.zst")).count() == 2
+
+
+def test_zst_files_round_trip(spark, tmp_path):
+    df = spark.range(0, 5000, 1, 3).select(
+        F.col("id").cast("string").alias("id"), F.when(F.col("id") % 7 > 0, F.repeat(F.lit("text \n\"é"), 20)).alias("text")
+    )
+    path = str(tmp_path / "out")
+    for _ in range(2):  # the second takes the place of the first
+        write_jsonl_zst(df, path)
+    files = sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith("."))
+    assert len(files) == 3 and all(f.endswith(".jsonl.zst") for f in files)
+    back = readers.read_jsonl(spark, path, "id string, text string", "*.zst")
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+    write_jsonl_zst(df.limit(0), path)
+    assert readers.read_jsonl(spark, path, "id string, text string", "*.zst").count() == 0
+
+
+@pytest.fixture
+def arriving(spark, tmp_path):
+    """Writes rows and runs a stream over what is new; gives all results and the run's progress."""
     source, out, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
-    schema = "id string, text string, chunk_id int, num_chunks int, finish_reason string"
 
-    def arrive(rows):
-        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
-        stream = stream_merge_chunks(stream_documents(spark, source, schema, "parquet"))
-        run_to_parquet(stream, out, mark)
-        return {(r.id, r.text, r.outcome) for r in spark.read.schema("id string, text string, outcome string").parquet(out).collect()}
+    def arrive(rows, schema, stream, **settings):
+        spark.createDataFrame(rows, "at string, " + schema).withColumn("arrived_at", F.col("at").cast("timestamp")).drop(
+            "at"
+        ).write.mode("append").parquet(source)
+        df = stream(stream_documents(spark, source, schema + ", arrived_at timestamp", "parquet"))
+        progress = run_to_parquet(df, out, mark, **settings)
+        return sorted(map(tuple, spark.read.schema(df.schema).parquet(out).collect())), progress
+
+    return arrive
+
+
+def test_stream_merges_across_runs(arriving):
+    schema = "id string, text string, chunk_id int, num_chunks int, finish_reason string"
 
-    assert arrive([("a", "two", 1, 2, "stop"), ("b", "x", 0, 1, "length"), ("c", "z", 0, 2, "stop")]) == {("b", "x", "rejected")}
-    assert arrive([("a", "one", 0, 2, "stop")]) == {("b", "x", "rejected"), ("a", "one\n\ntwo", "merged")}
+    def arrive(hour, *rows):
+        rows = [(HOUR.format(hour), *r) for r in rows]
+        return arriving(rows, schema, lambda df: stream_merge_chunks(df, late="1 hour", patience_ms=7_200_000), **KEYED_STATE)
+
+    first, progress = arrive(0, ("a", "two", 1, 2, "stop"), ("b", "x", 0, 1, "length"), ("c", "z", 0, 2, "stop"))
+    assert first == [("b", "x", "rejected")]
+    # The same chunk again counts once.
+    again, progress = arrive(1, ("a", "one", 0, 2, "stop"), ("c", "z", 0, 2, "stop"), ("d", "late", 2, 3, "stop"))
+    merged = [("a", "one\n\ntwo", "merged"), ("b", "x", "rejected")]
+    assert again == merged
+    # c and d wait until the watermark, an hour behind the clock, is two hours past their last chunk.
+    assert arrive(3, ("clock", "", -1, -1, ""))[0] == merged
+    without_c = sorted([*merged, ("c", "z", "incomplete")])
+    assert arrive(5, ("d", "more", 0, 3, "stop"), ("clock", "", -1, -1, ""))[0] == without_c
+    assert arrive(6, ("clock", "", -1, -1, ""))[0] == without_c
+    left, progress = arrive(12, ("clock", "", -1, -1, ""))
+    assert left == sorted([*without_c, ("d", "more\n\nlate", "incomplete")])
+    assert progress[-1]["stateOperators"][0]["numRowsTotal"] == 0
+
+
+def test_stream_forgets_old_contents(arriving):
+    def arrive(hour, *texts):
+        rows = [(HOUR.format(hour), t, hour) for t in texts]
+        found, progress = arriving(
+            rows, "text string, hour int", lambda df: stream_dedup(df, F.col("text"), "arrived_at", "2 hours").select("hour", F.coalesce("text", F.lit("")))
+        )
+        return found, progress[-1]["stateOperators"][0]["numRowsTotal"]
+
+    found, kept = arrive(0, "a b", " a  b ", "c", None)
+    assert len(found) == kept == 3 and {"", "c"} < {x[1] for x in found}
+    found, kept = arrive(1, "a b", "d")
+    assert [x for x in found if x[0] == 1] == [(1, "d")] and kept == 4
+    arrive(8, "clock")
+    found, kept = arrive(9, "tick")
+    assert kept <= 2  # the contents of the first hours are forgotten
+    found, kept = arrive(10, "a b", "tick")
+    assert [x for x in found if x[0] == 10] == [(10, "a b")]
+
+
+def test_a_stream_stops_itself_at_the_limit(spark, tmp_path):
+    slow = F.when(F.col("value") >= 60, F.lit(9.5)).otherwise(F.lit(1.0))
+    rate = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 20).load().withColumn("step_seconds", slow)
+    stop = StopAtLimit(spark, limit=5.0)
+    spark.streams.addListener(stop)
+    try:
+        query = StopAtLimit.watched(rate).writeStream.format("noop").option("checkpointLocation", str(tmp_path)).start()
+        calm = StopAtLimit.watched(rate.withColumn("step_seconds", F.lit(1.0))).writeStream.format("noop").start()
+        assert query.awaitTermination(60)
+        assert query.exception() is None and calm.isActive
+        assert stop.stopped == {str(query.runId): 9.5}
+    finally:
+        spark.streams.removeListener(stop)
+        for q in spark.streams.active:
+            q.stop()

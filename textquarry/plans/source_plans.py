@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from textquarry.plans.registry import query
 from textquarry.session import scratch_path
 from textquarry.sources import readers, writers
+from textquarry.sources.zst import write_jsonl_zst
 
 
 @query(
@@ -22,6 +23,17 @@ def scan_jsonl_gz(t):
     return back.select("id", lang.alias("lang"), F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("digest"))
 
 
+@query(
+    "scan_jsonl_zst", "S1",
+    "SELECT doc_id::VARCHAR AS id, lang, length(text)::BIGINT AS n_chars, md5(text) AS digest FROM documents",
+)
+def scan_jsonl_zst(t):
+    path = scratch_path(t.spark, "jsonl-zst")
+    write_jsonl_zst(t.documents.select(F.col("doc_id").cast("string").alias("key"), F.col("text").alias("body"), "lang"), path)
+    back = readers.read_jsonl(t.spark, path, "key string, body string, lang string", "*.jsonl.zst", "body", "key")
+    return back.select("id", "lang", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("digest"))
+
+
 @query(
     "scan_parquet", "S2 S4",
     "SELECT doc_id AS id, n_chars, 'train' AS split FROM documents WHERE lang = 'fr'",

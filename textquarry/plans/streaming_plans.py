@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textquarry.functions.hashing import uniform
+from textquarry.functions.hashing import squeeze, uniform
 from textquarry.functions.pii import mask_pii
 from textquarry.operators.filters import filter_min_words
 from textquarry.plans import sqlbits as S
@@ -51,28 +51,61 @@ def stream_resume(t):
 )
 def merge_arriving_chunks(t):
     source, out, mark = (scratch_path(t.spark, x) for x in ("arriving", "merged", "progress"))
+    start = F.lit("2025-01-01 00:00:00").cast("timestamp")
     chunks = translated_chunks(t).select(
         F.col("conv_id").cast("string").alias("id"), "text", F.col("chunk_id").cast("int").alias("chunk_id"),
-        F.col("num_chunks").cast("int").alias("num_chunks"), "finish_reason",
+        F.col("num_chunks").cast("int").alias("num_chunks"), "finish_reason", start.alias("arrived_at"),
     )
+    schema = "id string, text string, chunk_id int, num_chunks int, finish_reason string, arrived_at timestamp"
     # Two waves: most documents need both.
     first = uniform("id", "chunk_id", seed="wave") < 0.5
-    schema = "id string, text string, chunk_id int, num_chunks int, finish_reason string"
 
     def run():
         stream = X.stream_merge_chunks(X.stream_documents(t.spark, source, schema, "parquet"))
         digest = F.when(F.col("outcome") != "incomplete", F.md5("text"))
-        X.run_to_parquet(stream.select("id", "outcome", digest.alias("digest")), out, mark)
+        X.run_to_parquet(stream.select("id", "outcome", digest.alias("digest")), out, mark, **X.KEYED_STATE)
 
     chunks.where(first).write.parquet(source)
     run()
     chunks.where(~first).write.mode("append").parquet(source)
     run()
-    X.end_marks(chunks).write.mode("append").parquet(source)
-    run()
+    # Time goes on: the first row moves the watermark, and the timers expire with the second.
+    for days in (1, 2):
+        later = F.date_add(start, days).cast("timestamp")
+        clock = t.conversations.agg(F.count("*").alias("_n")).select(
+            F.lit("").alias("id"), F.lit("").alias("text"), F.lit(-1).alias("chunk_id"), F.lit(-1).alias("num_chunks"),
+            F.lit("").alias("finish_reason"), later.alias("arrived_at"),
+        )
+        clock.write.mode("append").parquet(source)
+        run()
     return t.spark.read.parquet(out)
 
 
+@query(
+    "stream_dedup", "R5",
+    f"""WITH c AS (SELECT doc_id, md5({S.squeeze('text')}) AS digest FROM documents)
+        SELECT DISTINCT digest, 0 AS hour FROM c UNION ALL SELECT DISTINCT digest, 49 AS hour FROM c WHERE doc_id % 5 = 0""",
+)
+def stream_dedup(t):
+    source, out, mark = (scratch_path(t.spark, x) for x in ("arriving", "first", "progress"))
+    start = F.lit("2025-01-01 00:00:00").cast("timestamp")
+
+    def arrive(docs, hour):
+        at = (start + F.expr(f"INTERVAL {hour} HOURS")).alias("arrived_at")
+        docs.select("text", F.lit(hour).alias("hour"), at).write.mode("append").parquet(source)
+        stream = X.stream_documents(t.spark, source, "text string, hour int, arrived_at timestamp", "parquet")
+        fresh = X.stream_dedup(stream, F.col("text"), "arrived_at", "2 hours")
+        X.run_to_parquet(fresh.select(F.md5(squeeze(F.col("text"))).alias("digest"), "hour"), out, mark)
+
+    clock = t.documents.agg(F.lit("the clock ticks").alias("text"))
+    arrive(t.documents, 0)
+    arrive(t.documents.where("doc_id % 3 = 0"), 1)  # remembered
+    arrive(clock, 30)
+    arrive(clock, 48)
+    arrive(t.documents.where("doc_id % 5 = 0"), 49)  # forgotten since
+    return t.spark.read.parquet(out).where("hour not in (30, 48)")
+
+
 @query(
     "stream_step_stats", "R4",
     """SELECT event_type AS run, strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*)::BIGINT AS steps, round(avg(value), 6) AS mean_step_seconds,

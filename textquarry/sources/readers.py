@@ -30,7 +30,9 @@ def read_jsonl(
     mode: str = "PERMISSIVE",
     limit: int | None = None,
 ) -> DataFrame:
-    """JSON lines below ``path`` (plain or compressed), with chosen text and id keys.
+    """JSON lines below ``path`` (plain, ``.gz``, ``.zst`` and so on), with chosen text and id keys.
+
+    Compressed files are decoded as streams.
 
     Put ``_corrupt_record string`` into the schema to keep lines that do not parse.
     """
