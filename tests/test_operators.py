@@ -222,7 +222,7 @@ def test_sampling_is_monotone_and_exact(spark):
     assert S.split_ratio(df, [0.2, 0.2]).count() < 1000
 
 
-def test_decontamination_both_paths(spark):
+def test_decontamination_with_any_filter(spark):
     words = [f"w{i}" for i in range(40)]
     bench = spark.createDataFrame([(" ".join(words[:20]), "q1 q2")], "text string, query string")
     docs = spark.createDataFrame(
@@ -231,10 +231,21 @@ def test_decontamination_both_paths(spark):
     )
     index = C.build_ngram_index(bench, query="query")
     assert {r.doc_id for r in C.contaminated_ids(docs, index).collect()} == {1, 4}
-    clean, removed = C.decontaminate(docs, index, broadcast_ngrams=0)
+    clean, removed = C.decontaminate(docs, index, bloom_words=1)
     assert {r.doc_id for r in clean.collect()} == {2, 3} and {r.doc_id for r in removed.collect()} == {1, 4}
 
 
+def test_bloom_filter_passes_all_members_and_few_others(spark):
+    members = spark.range(20_000).select(F.xxhash64("id").alias("h"))
+    others = spark.range(50_000, 150_000).select(F.xxhash64("id").alias("h"))
+    words = 4096  # 13 bits a member
+    bloom = C.bloom_filter(members, words=words).cache()
+    assert bloom.count() <= words
+    assert C.may_contain(members, bloom, words=words).count() == 20_000
+    assert C.may_contain(others, bloom, words=words).count() < 2_500
+    assert C.may_contain(others, C.bloom_filter(members.limit(0), words=words), words=words).count() == 0
+
+
 def test_merge_chunks_outcomes(spark):
     rows = [(1, "b", 1, 2, "stop"), (1, "a", 0, 2, "stop"), (2, "x", 0, 1, "length"), (3, "y", 0, 2, "stop")]
     df = spark.createDataFrame(rows, "id int, text string, chunk_id int, num_chunks int, finish_reason string")
@@ -360,11 +371,24 @@ def test_language_model(spark):
     assert Q.filter_language(found, ["fr"], 0.65).count() == 20
 
 
-def test_perplexity_by_hand(spark):
+@pytest.mark.parametrize("head_rows", [0, 3, 1000])
+def test_perplexity_by_hand(spark, head_rows):
+    from math import exp, log
+
     df = spark.createDataFrame([(1, "a b", "x"), (2, "a b", "x"), (3, "a c", "x")], "doc_id int, text string, lang string")
-    got = {r.doc_id: r.perplexity for r in Q.perplexity(df, Q.train_bigrams(df), k=0.0).collect()}
-    # P(a|<s>) = 1, P(b|a) = 2/3, P(</s>|b) = 1.
-    assert got[1] == pytest.approx((3 / 2) ** (1 / 3)) and got[3] == pytest.approx(3 ** (1 / 3))
+    model = Q.train_bigrams(df)
+    # Five kinds of pairs: <s> a, a b, a c, b </s>, c </s>.
+    pair = {"<s> a": 2.25 / 3 + 0.25 / 5, "a b": 1.25 / 3 + 0.5 / 5, "a c": 0.25 / 3 + 0.5 / 5, "b </s>": 1.25 / 2 + 0.375 * 2 / 5, "c </s>": 0.25 + 0.75 * 2 / 5}
+    new = spark.createDataFrame([(4, "b a", "x"), (5, "z b", "x"), (6, "a b", "y"), (7, "", "x")], df.schema)
+    # Pairs not seen back off: to the second word after the first, after no known word, to an unseen word.
+    pair |= {"<s> b": 0.25 / 5, "b a": 0.375 / 5, "a </s>": 0.5 * 2 / 5, "<s> z": 0.25 * 0.5 / 5, "z b": 1 / 5, "<s> </s>": 0.25 * 2 / 5}
+    texts = {1: "a b", 2: "a b", 3: "a c", 4: "b a", 5: "z b", 7: ""}
+    got = {r.doc_id: r.perplexity for r in Q.perplexity(df.union(new), model, head_rows=head_rows).collect()}
+    assert got.pop(6) == pytest.approx(1e6)
+    for doc_id, text in texts.items():
+        w = ["<s>", *text.split(), "</s>"]
+        logs = [log(pair[f"{x} {y}"]) for x, y in zip(w, w[1:])]
+        assert got[doc_id] == pytest.approx(exp(-sum(logs) / len(logs))), doc_id
 
 
 def test_uniform_is_uniform(spark):

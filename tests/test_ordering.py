@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -66,7 +68,7 @@ def test_take_until_drops_the_crossing_row(spark):
 
 
 @pytest.mark.parametrize("cap", [1, 10, 37])
-def test_ordered_bins_both_ways(spark, cap):
+def test_ordered_bins_equal_a_loop(spark, cap):
     rng = random.Random(cap)
     sizes = [rng.randrange(0, 15) for _ in range(120)]
     df = spark.createDataFrame(list(enumerate(sizes)), "id int, size int")
@@ -77,12 +79,40 @@ def test_ordered_bins_both_ways(spark, cap):
         else:
             held += s
         want.append(bin_no)
-    one_pass = [r.bin for r in X.ordered_bins(df, ["id"], "size", cap).orderBy("id").collect()]
-    assert one_pass == want
+    one_range = [r.bin for r in X.ordered_bins(df, ["id"], "size", cap).orderBy("id").collect()]
+    assert one_range == want
     if cap == 37:
-        doubling = [r.bin for r in X.ordered_bins(df, ["id"], "size", cap, rows_per_range=40).orderBy("id").collect()]
-        assert doubling == want
-
+        assert X.ordered_bins(df.limit(0), ["id"], "size", cap).count() == 0
+        many = [r.bin for r in X.ordered_bins(df, ["id"], "size", cap, rows_per_range=40).orderBy("id").collect()]
+        assert many == want
+
+
+def test_transfer_tables_compose():
+    """Any cut into ranges, with loads of all kinds, gives the bins of one loop."""
+    rng = random.Random(11)
+    for _ in range(400):
+        cap = rng.choice([1, 5, 10, 40])
+        sizes = [rng.choice([0, 0, 1, 3, 7, 50]) if rng.random() < 0.5 else rng.randrange(12) for _ in range(rng.randrange(1, 60))]
+        starts, held = [], None
+        for i, s in enumerate(sizes):
+            if held is None or held + s > cap:
+                starts.append(i)
+                held = 0
+            held += s
+        cuts = sorted({0, *(rng.randrange(len(sizes)) for _ in range(rng.randrange(6)))})
+        ranges = [X._Range(np.array(sizes[a:b]), cap) for a, b in zip(cuts, [*cuts[1:], len(sizes)])]
+        rows = [(k, *t) for k, r in enumerate(ranges) for t in sorted(r.transfers())]
+        tables = pd.DataFrame(rows, columns=["_range", "least", "adds", "left", "bins"])
+        halves = [tables.iloc[: len(tables) // 2], tables.iloc[len(tables) // 2 :]]
+        entering = pd.concat(X._compose(iter(halves), cap)).values.tolist()
+        got = [cuts[k] + int(i) for k, load, _ in entering for i in ranges[k].starts(load)]
+        assert got == starts, (sizes, cuts, cap)
+        assert [before for _, _, before in entering] == [sum(s < c for s in starts) for c in cuts]
+
+
+def test_long_ranges_have_small_tables():
+    sizes = np.random.default_rng(1).integers(1, 5000, 20_000)
+    assert len(X._Range(sizes, 60_000).transfers()) <= 3
 
 def test_epoch_order_covers_each_epoch(spark):
     df = spark.range(50).withColumnRenamed("id", "key")

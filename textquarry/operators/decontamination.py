@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from textquarry.functions.hashing import let
 from textquarry.functions.text import words
 
 N_GRAM = 13
-# An index of this many 8-byte hashes takes about 100 MB on an executor.
-BROADCAST_NGRAMS = 2_000_000
+# Words of 64 bits in the Bloom filter: 8 MB of bits, whatever the size of the index.
+BLOOM_WORDS = 1 << 20
+BLOOM_BITS = 4
 
 
 def normalized_words(text: Column) -> Column:
@@ -53,23 +56,51 @@ def build_ngram_index(
     return benchmark.select(F.explode(grams).alias("ngram")).distinct()
 
 
+def _bloom_place(h: Column, words: int) -> tuple[Column, Column]:
+    """The word of a hash, and its ``BLOOM_BITS`` bits within the word."""
+    mixed = F.xxhash64(h)
+    bits = [F.shiftrightunsigned(mixed, 6 * k).bitwiseAND(F.lit(63)).cast("int") for k in range(BLOOM_BITS)]
+    mask = reduce(lambda m, x: m.bitwiseOR(x), [F.call_function("shiftleft", F.lit(1).cast("bigint"), x) for x in bits])
+    return F.pmod(F.shiftrightunsigned(mixed, 6 * BLOOM_BITS), F.lit(words)), mask
+
+
+def bloom_filter(hashes: DataFrame, column: str = "h", words: int = BLOOM_WORDS) -> DataFrame:
+    """``word, bits``: a blocked Bloom filter of a column of 8-byte hashes.
+
+    Every hash sets a few bits of one word, and words are combined by OR on the map side
+    first, so the filter has at most ``words`` rows however many hashes there are.
+    """
+    word, mask = _bloom_place(F.col(column), words)
+    return hashes.select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("bits"))
+
+
+def may_contain(df: DataFrame, bloom: DataFrame, column: str = "h", words: int = BLOOM_WORDS) -> DataFrame:
+    """The rows whose hash may be in the filter; all that are in it, and few others.
+
+    The filter is broadcast: its size is fixed by ``words``.
+    """
+    word, mask = _bloom_place(F.col(column), words)
+    placed = df.withColumns({"_word": word, "_mask": mask})
+    met = placed.join(F.broadcast(bloom), F.col("_word") == F.col("word"))
+    return met.where(F.col("bits").bitwiseAND(F.col("_mask")) == F.col("_mask")).select(*df.columns)
+
+
 def contaminated_ids(
-    df: DataFrame, index: DataFrame, key: str = "doc_id", text: str = "text", n: int = N_GRAM,
-    broadcast_ngrams: int = BROADCAST_NGRAMS,
+    df: DataFrame, index: DataFrame, key: str = "doc_id", text: str = "text", n: int = N_GRAM, bloom_words: int = BLOOM_WORDS
 ) -> DataFrame:
     """Keys of documents that contain an indexed n-gram.
 
-    Documents are matched on 8-byte hashes first; only those with a hit are matched on
-    the n-grams themselves. The index is counted: up to the bound its hashes are
-    broadcast and the exploded ones never leave their task, beyond it they meet
-    through a shuffle.
+    The exploded n-grams of the documents meet a Bloom filter of the index within their
+    task, and only the few that pass are shuffled: they are joined with the index's 8-byte hashes,
+    and the documents left are matched on the n-grams themselves. The index may
+    have any size; a larger one lets more hashes pass, never fewer.
     """
     wanted = index.select(F.xxhash64(F.split("ngram", " ")).alias("h")).distinct()
-    small = index.limit(broadcast_ngrams + 1).count() <= broadcast_ngrams
     hashed = df.select(key, F.explode(ngram_hashes(F.col(text), n)).alias("h"))
-    suspects = hashed.join(F.broadcast(wanted) if small else wanted, "h", "left_semi").select(key).distinct()
+    passed = may_contain(hashed, bloom_filter(wanted, "h", bloom_words), "h", bloom_words)
+    suspects = passed.join(wanted, "h", "left_semi").select(key).distinct()
     grams = df.join(suspects, key, "left_semi").select(key, F.explode(ngrams(F.col(text), n)).alias("ngram"))
-    return grams.join(F.broadcast(index) if small else index, "ngram", "left_semi").select(key).distinct()
+    return grams.join(index, "ngram", "left_semi").select(key).distinct()
 
 
 def decontaminate(

@@ -7,6 +7,9 @@ definition below is our own.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,7 +22,7 @@ from pyspark.sql import types as T
 
 from textquarry.functions.hashing import let
 from textquarry.functions.text import words
-from textquarry.operators.skew import lookup_by_frequency
+from textquarry.operators.skew import HEAD_ROWS, lookup_by_frequency, split_by_frequency
 from textquarry.session import written
 
 
@@ -160,54 +163,97 @@ def _bigrams(text: Column) -> Column:
     return let(marked, pairs)
 
 
-def train_bigrams(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Bigram counts per language: one row per ``key`` = language and pair, or language and first word.
+# What Kneser-Ney smoothing takes from each pair's count for pairs not seen.
+DISCOUNT = 0.75
+# How many followed words a word that was never seen counts as.
+UNSEEN = 0.5
+
+
+@dataclass(frozen=True)
+class BigramModel:
+    """An interpolated Kneser-Ney model of word pairs per language, as tables.
+
+    ``pairs`` has ``key`` (language and pair), ``n`` and ``logp``; ``firsts`` has ``key``
+    (language and first word), ``c`` (its count) and ``backoff`` (the weight of words not
+    seen after it); ``seconds`` has ``key`` (language and second word), ``k`` (after how many
+    different words it stands) and ``continuation`` (its share of all such).
+    """
+
+    pairs: DataFrame
+    firsts: DataFrame
+    seconds: DataFrame
+    unseen: DataFrame
+
 
-    ``n`` is the pair's count (0 in the rows of first words), ``left`` the count of its
-    first word, ``vocab`` the number of first words and ``seen`` how often the key occurs.
+def _in_language(word: str) -> Column:
+    return F.concat_ws("|", "lang", word)
+
+
+def train_bigrams(
+    df: DataFrame, text: str = "text", lang: str = "lang", discount: float = DISCOUNT
+) -> BigramModel:
+    """Count pairs, and smooth them by continuation counts.
+
+    A pair's probability is ``(n - discount) / c`` and the weight its first word leaves over times the
+    second word's continuation share.
     """
     pairs = df.select(F.col(lang).alias("lang"), F.explode(_bigrams(F.col(text))).alias("pair"))
-    counts = pairs.groupBy("lang", "pair").agg(F.count("*").alias("n"))
-    counts = written(counts.withColumn("w1", F.substring_index("pair", " ", 1)), "bigrams")
-    lefts = written(counts.groupBy("lang", "w1").agg(F.sum("n").alias("left")), "first-words")
+    words_of = {"w1": F.substring_index("pair", " ", 1), "w2": F.substring_index("pair", " ", -1)}
+    counts = written(pairs.groupBy("lang", "pair").agg(F.count("*").alias("n")).withColumns(words_of), "bigrams")
+    firsts = counts.groupBy("lang", "w1").agg(F.sum("n").alias("c"), F.count("*").alias("types"))
+    firsts = written(
+        firsts.select(_in_language("w1").alias("key"), "c", "types", (discount * F.col("types") / F.col("c")).alias("backoff")), "first-words"
+    )
+    followers = written(counts.groupBy("lang", "w2").agg(F.count("*").alias("k")), "second-words")
     # A handful of languages.
-    vocab = lefts.groupBy("lang").agg(F.count("*").alias("vocab"))
-    history = lefts.join(F.broadcast(vocab), "lang")
-    seen_pairs = counts.join(history, ["lang", "w1"]).select(
-        F.concat_ws("|", "lang", "pair").alias("key"), "n", "left", "vocab", F.col("n").alias("seen")
+    totals = followers.groupBy("lang").agg(F.sum("k").alias("total"))
+    seconds = followers.join(F.broadcast(totals), "lang").select(
+        _in_language("w2").alias("key"), "k", (F.col("k") / F.col("total")).alias("continuation")
     )
-    first_words = history.select(
-        F.concat_ws("|", "lang", "w1").alias("key"), F.lit(0).cast("bigint").alias("n"), "left", "vocab", F.col("left").alias("seen")
+    met = counts.select(
+        _in_language("pair").alias("key"), "n", _in_language("w1").alias("first"), _in_language("w2").alias("second")
     )
-    return written(seen_pairs.unionByName(first_words), "bigram-model")
+    met = lookup_by_frequency(met, firsts.withColumnRenamed("key", "first"), "first", "types", ["key"])
+    met = lookup_by_frequency(met, seconds.withColumnRenamed("key", "second"), "second", "k", ["key"])
+    p = (F.col("n") - discount) / F.col("c") + F.col("backoff") * F.col("continuation")
+    unseen = totals.select("lang", (UNSEEN / F.col("total")).alias("unseen"))
+    return BigramModel(written(met.select("key", "n", F.log(p).alias("logp")), "bigram-model"), firsts, seconds, unseen)
 
 
 def perplexity(
-    df: DataFrame, bigrams: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", k: float = 0.1
+    df: DataFrame, model: BigramModel, key: str = "doc_id", text: str = "text", lang: str = "lang", head_rows: int = HEAD_ROWS
 ) -> DataFrame:
-    """Perplexity of each document under the add-k bigram model of its language.
+    """Perplexity of each document under the model of its language.
 
-    Pairs are counted per document before the lookup. A pair the model never saw is
-    looked up by its first word; a first word it never saw is worth one in a million.
+    The frequent pairs are in memory, so most pairs of a document are scored and summed up in
+    the task that reads it; only the rest is shuffled. A pair the model never saw backs
+    off to its second word, weighted by what its first word leaves over. A language that the
+    model does not know gives 1e-6 for each word.
     """
-    per_doc = (
-        df.select(key, F.col(lang).alias("_lang"), F.explode(_bigrams(F.col(text))).alias("_pair"))
-        .groupBy(key, "_lang", "_pair")
-        .agg(F.count("*").alias("_m"))
-        .withColumn("key", F.concat_ws("|", "_lang", "_pair"))
+    pairs = df.select(key, F.col(lang).alias("lang"), F.explode(_bigrams(F.col(text))).alias("pair"))
+    pairs = pairs.select(key, "lang", "pair", _in_language("pair").alias("_key"))
+    head, tail = (x.select(F.col("key").alias("_known"), "logp") for x in split_by_frequency(model.pairs, "n", head_rows))
+    first = pairs.join(F.broadcast(head), F.col("_key") == F.col("_known"), "left")
+    frequent = first.where("_known IS NOT NULL").groupBy(key).agg(F.sum("logp").alias("logp"), F.count("*").alias("m"))
+    rest = written(first.where("_known IS NULL").drop("_known", "logp"), "rare-pairs")
+    second = rest.join(tail, F.col("_key") == F.col("_known"), "left")
+    never = second.where("_known IS NULL").select(
+        key, "lang", _in_language("pair").alias("_pair"),
+        F.concat_ws("|", "lang", F.substring_index("pair", " ", 1)).alias("_first"),
+        F.concat_ws("|", "lang", F.substring_index("pair", " ", -1)).alias("_second"),
     )
-    first = F.concat_ws("|", "_lang", F.substring_index("_pair", " ", 1))
-    met = lookup_by_frequency(per_doc, bigrams, "key", "seen", [key, "_pair"]).withColumn("first", F.when(F.col("n").isNull(), first))
-    histories = bigrams.select(
-        F.col("key").alias("first"), F.col("left").alias("_left"), F.col("vocab").alias("_vocab"), F.col("seen").alias("_seen")
-    )
-    met = lookup_by_frequency(met, histories, "first", "_seen", [key, "_pair"])
-    logp = F.coalesce(
-        F.log((F.col("n") + k) / (F.col("left") + k * F.col("vocab"))),
-        F.log(F.lit(k) / (F.col("_left") + k * F.col("_vocab"))),
-        F.lit(-13.815510557964274),
-    )
-    return met.groupBy(key).agg(F.exp(-F.sum(F.col("_m") * logp) / F.sum("_m")).alias("perplexity"))
+    firsts = model.firsts.select(F.col("key").alias("_first"), "c", "backoff")
+    seconds = model.seconds.select(F.col("key").alias("_second"), "k", "continuation")
+    met = lookup_by_frequency(never, firsts, "_first", "c", [key, "_pair"])
+    met = lookup_by_frequency(met, seconds, "_second", "k", [key, "_pair"]).join(F.broadcast(model.unseen), "lang", "left")
+    backed = F.coalesce("backoff", F.lit(1.0)) * F.coalesce("continuation", "unseen", F.lit(1e-6))
+    parts = [
+        frequent,
+        second.where("_known IS NOT NULL").groupBy(key).agg(F.sum("logp").alias("logp"), F.count("*").alias("m")),
+        met.groupBy(key).agg(F.sum(F.log(backed)).alias("logp"), F.count("*").alias("m")),
+    ]
+    summed = reduce(DataFrame.unionByName, parts).groupBy(key)
+    return summed.agg(F.exp(-F.sum("logp") / F.sum("m")).alias("perplexity"))
 
 
 def filter_perplexity(df: DataFrame, scores: DataFrame, low: float = 10, high: float = 2000, key: str = "doc_id") -> DataFrame:

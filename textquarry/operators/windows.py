@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textquarry.functions.hashing import uniform
 from textquarry.functions.text import geometric_break
@@ -15,7 +21,7 @@ from textquarry.operators.ordering import (
     running,
     split_ranges,
 )
-from textquarry.session import shared_folder, written
+from textquarry.session import written
 
 
 def ordered_distinct(values: Column) -> Column:
@@ -123,30 +129,72 @@ def truncate_series(df: DataFrame, order: str, arrays: list[str], most: float) -
     return df.withColumn("_k", kept).withColumns({c: F.slice(c, F.lit(1), F.col("_k")) for c in [order, *arrays]}).drop("_k")
 
 
-def _next_starts(rows: DataFrame, cap: int, rows_per_range: int) -> DataFrame:
-    """For each row, the row that opens the next bin if this row opens one (NULL at the end).
-
-    It is the first row whose running size exceeds the size before this row plus
-    the cap, found by sorting rows and limits together.
-    """
-    points = rows.select(F.col("_upto").alias("v"), F.lit(0).alias("kind"), "_n").unionByName(
-        rows.select((F.col("_upto") - F.col("_size") + cap).alias("v"), F.lit(1).alias("kind"), "_n")
-    )
-    cut = split_ranges(points, ["v", "kind", "_n"], rows_per_range)
-    row_here = F.when(F.col("kind") == 0, F.col("_n"))
-    # Read backwards, so that each row adds to what the last one knew: linear in the range.
-    later_first = W.partitionBy("_range").orderBy(F.desc("v"), F.desc("kind"), F.desc("_n"))
-    after = later_first.rowsBetween(W.unboundedPreceding, -1)
-    local = cut.withColumn("_here", F.last(row_here, ignorenulls=True).over(after))
-    # One row per range: the first row of any later range.
-    firsts = cut.groupBy("_range").agg(F.min(row_here).alias("_f"))
-    later = firsts.select(
-        F.col("_range").alias("_r"),
-        F.min("_f").over(W.orderBy("_range").rowsBetween(1, W.unboundedFollowing)).alias("_later"),
-    )
-    found = local.where("kind = 1").join(F.broadcast(later), F.col("_range") == F.col("_r"), "left")
-    target = F.coalesce("_here", "_later")
-    return found.select("_n", F.when(target.isNotNull(), F.greatest(target, F.col("_n") + 1)).alias("_to"))
+class _Range:
+    """The greedy bins of one range of rows, for any load with which a bin reaches into it."""
+
+    def __init__(self, sizes: np.ndarray, cap: int):
+        self.cap = cap
+        self.upto = np.concatenate(([0], np.cumsum(sizes)))
+        starts = np.arange(len(sizes))
+        # The row that opens the next bin if this row opens one.
+        self.next = np.maximum(np.searchsorted(self.upto, self.upto[:-1] + cap, "right") - 1, starts + 1)
+
+    def first(self, load: int) -> int:
+        """The first row that does not fit onto ``load``; the number of rows if all do."""
+        return int(np.searchsorted(self.upto[1:], self.cap - load, "right"))
+
+    def starts(self, load: int) -> np.ndarray:
+        found, at = [], self.first(load)
+        while at < len(self.next):
+            found.append(at)
+            at = int(self.next[at])
+        return np.array(found, np.int64)
+
+    def transfers(self) -> list[tuple[int, bool, int, int]]:
+        """``least, adds, left, bins``: from an entering load of ``least`` on, the load that leaves and the bins opened.
+
+        ``adds`` tells that no bin opens and the range's whole size adds to the load. Neighbouring
+        loads with one result are one entry; bins soon fall into step, so a long range has few.
+        """
+        rows, last = len(self.next), self.first(0)
+        table = [(0, True, int(self.upto[-1]), 0)] if last == rows else []
+        known: dict[int, tuple[int, int]] = {}
+        for at in range(min(last, rows - 1), -1, -1):
+            way, here = [], at
+            while here < rows and here not in known:
+                way.append(here)
+                here = int(self.next[here])
+            for row in reversed(way):
+                onward = int(self.next[row])
+                if onward < rows:
+                    left, bins = known[onward]
+                    known[row] = left, bins + 1
+                else:
+                    known[row] = int(self.upto[-1] - self.upto[row]), 1
+            left, bins = known[at]
+            if not table or table[-1][1:] != (False, left, bins):
+                table.append((max(int(self.cap - self.upto[at + 1]) + 1, 0), False, left, bins))
+        return table
+
+
+def _compose(batches: Iterator[pd.DataFrame], cap: int) -> Iterator[pd.DataFrame]:
+    """From the ranges' transfer tables, in order, the load and the bins that reach each range."""
+    load, bins, number, table = cap + 1, 0, None, []
+
+    def passed() -> tuple[int, int]:
+        least, adds, left, opened = table[bisect_right([t[0] for t in table], load) - 1]
+        return (load + left if adds else left), bins + opened
+
+    for pdf in batches:
+        out = []
+        for row in zip(*(pdf[c].tolist() for c in ("_range", "least", "adds", "left", "bins"))):
+            if row[0] != number:
+                if number is not None:
+                    load, bins = passed()
+                number, table = row[0], []
+                out.append((number, load, bins))
+            table.append(row[1:])
+        yield pd.DataFrame(out, columns=["_range", "load", "before"])
 
 
 def ordered_bins(
@@ -155,28 +203,38 @@ def ordered_bins(
     """Cut the ordered rows into bins whose sizes sum to at most ``cap``; adds ``bin`` from 0.
 
     A bin is filled until the next row would not fit, and a row larger than the cap
-    is alone. Every row knows the start that would follow its own, and the true
-    starts are reached from the first row by doubling: after k rounds the first
-    2^k starts are known. Rounds are cut with ``checkpoint`` in the shared folder.
+    is alone. Where bins start in a range of rows depends on the rows before only through
+    the load of the bin that reaches into it. So each range first says, by itself, what
+    it makes of any load: the load that leaves it and the bins it opens, a step function
+    with few steps. One pass over these small tables gives the load that enters
+    each range, and then every range cuts its own bins. Sizes are not negative; NULL counts as 0.
     """
-    narrow = df.select(*order, F.col(size).cast("bigint").alias("_size"))
-    shared_folder(df.sparkSession)
-    ordered = running(
-        narrow, order, {"_n": F.lit(1).cast("bigint"), "_upto": F.col("_size")}, rows_per_range=rows_per_range
-    ).checkpoint()
-    jump = _next_starts(ordered, cap, rows_per_range).checkpoint()
-    reached = ordered.where("_n = 1").select("_n")
-    while True:
-        step = reached.join(jump, "_n").where("_to IS NOT NULL").select(F.col("_to").alias("_n"))
-        grown = reached.unionByName(step).distinct().checkpoint()
-        if step.isEmpty():
-            break
-        reached = grown
-        onward = jump.select(F.col("_n").alias("_to"), F.col("_to").alias("_then"))
-        jump = jump.where("_to IS NOT NULL").join(onward, "_to").select("_n", F.col("_then").alias("_to")).checkpoint()
-    marked = ordered.join(reached.withColumn("_start", F.lit(1).cast("bigint")), "_n", "left")
-    bins = running(marked.select(*order, "_start"), order, {"bin": F.col("_start")}, rows_per_range=rows_per_range)
-    return df.join(bins.select(*order, (F.col("bin") - 1).alias("bin")), order)
+    narrow = df.select(*order, F.coalesce(F.col(size).cast("bigint"), F.lit(0)).alias("_size"))
+    cut = written(split_ranges(written(narrow, "sizes"), order, rows_per_range), "ranges")
+
+    def transfers(pdf: pd.DataFrame) -> pd.DataFrame:
+        sizes = pdf.sort_values(order, na_position="first")["_size"].to_numpy()
+        table = pd.DataFrame(_Range(sizes, cap).transfers(), columns=["least", "adds", "left", "bins"])
+        return table.assign(_range=pdf["_range"].iloc[0])
+
+    tables = cut.groupBy("_range").applyInPandas(
+        transfers, "_range int, least bigint, adds boolean, left bigint, bins bigint"
+    )
+    # A few rows per range, read in order.
+    steps = written(tables.repartition(1).sortWithinPartitions("_range", "least"), "transfers")
+    entering = steps.coalesce(1).sortWithinPartitions("_range", "least").mapInPandas(
+        lambda batches: _compose(batches, cap), "_range int, load bigint, before bigint"
+    )
+    placed = cut.join(F.broadcast(written(entering, "entering")), "_range")
+
+    def bins(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, na_position="first")
+        opened = np.zeros(len(pdf), np.int64)
+        opened[_Range(pdf["_size"].to_numpy(), cap).starts(int(pdf["load"].iloc[0]))] = 1
+        return pdf[order].assign(bin=int(pdf["before"].iloc[0]) + np.cumsum(opened) - 1)
+
+    schema = T.StructType([*[narrow.schema[c] for c in order], T.StructField("bin", T.LongType())])
+    return df.join(placed.groupBy("_range").applyInPandas(bins, schema), order)
 
 
 def epoch_order(df: DataFrame, key: str, n: int, seed: int = 42, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:

@@ -42,9 +42,12 @@ def language_filter(t):
 
 
 _PAIRS_SQL = """w AS (SELECT doc_id, lang, list_concat(list_concat(['<s>'], regexp_extract_all(lower(text), '[^ \\t\\n\\r\\f\\x0B]+')), ['</s>']) AS w FROM documents),
-    p AS (SELECT doc_id, lang, w1, w1 || ' ' || w2 AS pair FROM (SELECT doc_id, lang, unnest(w[1:len(w) - 1]) AS w1, unnest(w[2:len(w)]) AS w2 FROM w)),
-    n AS (SELECT lang, pair, w1, count(*) AS n FROM p GROUP BY ALL), l AS (SELECT lang, w1, sum(n) AS l FROM n GROUP BY ALL), v AS (SELECT lang, count(*) AS v FROM l GROUP BY lang),
-    q AS MATERIALIZED (SELECT n.lang, n.pair, ln((n.n + 0.1::DOUBLE) / (l.l + 0.1::DOUBLE * v.v)) AS lp FROM n JOIN l ON l.lang = n.lang AND l.w1 = n.w1 JOIN v ON v.lang = n.lang),
+    p AS (SELECT doc_id, lang, w1, w2, w1 || ' ' || w2 AS pair FROM (SELECT doc_id, lang, unnest(w[1:len(w) - 1]) AS w1, unnest(w[2:len(w)]) AS w2 FROM w)),
+    n AS MATERIALIZED (SELECT lang, pair, w1, w2, count(*) AS n FROM p GROUP BY ALL), f AS (SELECT lang, w1, sum(n) AS c, count(*) AS types FROM n GROUP BY ALL),
+    k AS (SELECT lang, w2, count(*) AS k FROM n GROUP BY ALL),
+    b AS MATERIALIZED (SELECT n.lang, pair, w2, n, c, types FROM n JOIN f ON f.lang = n.lang AND f.w1 = n.w1),
+    v AS MATERIALIZED (SELECT lang, w2, k, sum(k) OVER (PARTITION BY lang) AS total FROM k),
+    q AS MATERIALIZED (SELECT b.lang, b.pair, ln((n - 0.75::DOUBLE) / c + 0.75::DOUBLE * types / c * k / total) AS lp FROM b JOIN v ON v.lang = b.lang AND v.w2 = b.w2),
     s AS (SELECT p.doc_id, exp(-avg(lp)) AS ppl FROM p JOIN q ON p.lang = q.lang AND p.pair = q.pair GROUP BY p.doc_id)"""
 
 
