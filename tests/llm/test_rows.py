@@ -188,6 +188,40 @@ def test_host_outvotes_a_page(spark):
     assert got[9] == prose(9, 40)
 
 
+A, B, C = (prose(i, 40) for i in (71, 72, 73))
+ITEMS = "".join(f"<li>{prose(80 + i, 12)}</li>" for i in range(20))
+LINKS = "".join(f"<li><a href=/{i}>{prose(120 + i, 6)}</a></li>" for i in range(20))
+
+
+@pytest.mark.parametrize(
+    "markup, kept, gone",
+    [
+        ("<article><h1>Title</h1><div class=entry-content><p>{A}<p>{B}</div></article>", ["Title", A, B], []),
+        ("<article><div class=intro>{A}</div><div class=body><p>{B}<p>{C}</div></article>", [A, B, C], []),
+        ("<article><p>{A}</p><ul>{ITEMS}</ul></article>", [A, prose(80, 12), prose(99, 12)], []),
+        ("<div class=post><p>{A}</p><ul>{ITEMS}</ul><p>{B}</p></div>", [A, prose(80, 12), B], []),
+        ("<div class=page><div class=lead>{A}</div><div class=rest><p>{B}<p>{C}</div></div>", [A, B, C], []),
+        ("<div class=page><div class=text><p>{A}<p>{B}</div><ul class=more>{LINKS}</ul></div>", [A, B], [prose(120, 6)]),
+        ("<article><h1>Title</h1><div class=x><p>{A}</div></article><div class=y>{C}</div>", ["Title", A], [C]),
+        ("<p>{A}</p><ul>{ITEMS}</ul>", [A, prose(80, 12)], []),
+    ],
+)
+def test_the_whole_article_is_kept(spark, markup, kept, gone):
+    page = "<body>" + markup.format(A=A, B=B, C=C, ITEMS=ITEMS, LINKS=LINKS) + "<footer>foot</footer></body>"
+    rows = [(i, "http://one.example/x", page) for i in (1, 2, 2)]
+    got = html_paths.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert sorted(r["page_id"] for r in got) == [1, 2, 2] and len({r["text"] for r in got}) == 1
+    blocks = got[0]["text"].split("\n\n")
+    assert [b for b in blocks if b in kept] == kept
+    assert not set(gone) & set(blocks) and "foot" not in blocks
+
+
+def test_a_narrow_host_path_does_not_cut_a_page():
+    page = html_paths.parse(f"<article><p>{A}</p><div class=box><p>{B}</div></article>")
+    assert html_paths.article_of(page, "article>div.box") == [A, B]
+    assert html_paths.article_of(page, "article") == html_paths.article_of(page, None) == [A, B]
+
+
 @pytest.mark.parametrize("bad", ["<p" * 20000, "<div>" * 50_000 + "x", '<a ">' * 20001, "<a '" * 3000])
 def test_hostile_markup_is_quick(bad):
     html_paths.best_path(html_paths.parse(bad))

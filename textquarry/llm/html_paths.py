@@ -1,10 +1,12 @@
 """Main text of web pages by consensus host paths.
 
 Every page scores its containers: text outside links counts for its own container and,
-less, for those around it. The path of tags and classes to the best container, with
-digits generalised, is the page's vote. Spark counts the votes of each host, and every
-page is extracted again with the path that won on its host; where that path holds little
-of a page's text, the page's own best path is used.
+less, for those around it. From the best container the page climbs to those around it as
+long as they add running text, so titles, introductions and the paragraphs around a long list
+stay. The path of tags and classes to where it ends, with digits generalised, is the page's
+vote. Spark counts the votes of each host, and every page is extracted again with the path
+that won on its host. The page's own path is used where the host's holds little text, or
+lies inside the page's own and leaves out more than a tenth of it.
 """
 
 from __future__ import annotations
@@ -45,10 +47,19 @@ NEVER_WORDS = {
 }
 ALWAYS_TRUSTED = {"body", "main", "article"}
 
+# Containers that are parts of a text, never the whole of it.
+PARTS = {"ul", "ol", "dl", "table", "td", "figure", "details", "fieldset", "center"}
+# The climb from the best container ends here.
+WHOLE = {"article", "main"}
+
 # A share of a container's text also counts for the container around it.
 UPWARD = 0.5
-# The host's path must hold this share of what the page's own path holds.
+# What a container adds to the one inside it is running text if links hold at most this share.
+MOST_LINKED = 0.3
+# The host's path must hold this share of what the page's own path holds, where the two hold
+# different text, and the second share where it lies inside the page's own path.
 LEAST_SHARE = 0.25
+NEARLY_ALL = 0.9
 
 # Containers nested deeper than this count for the one at this depth.
 DEEPEST = 100
@@ -191,20 +202,49 @@ def parse(html: str) -> Page:
     return page
 
 
+def _up(page: Page, own: list[float], share: float = 1.0) -> list[float]:
+    """What each path holds with a share of what lies below it."""
+    total = own[:]
+    for path in range(len(own) - 1, -1, -1):  # a path comes after those it lies in
+        if page.parents[path] >= 0:
+            total[page.parents[path]] += share * total[path]
+    return total
+
+
+def _climb(page: Page, start: int, chars: list[float], linked: list[float]) -> int:
+    """The last path around ``start`` that adds running text, at most an article or main part.
+
+    The whole body is taken only for a list or table that lies in it directly.
+    """
+    tags = [path.rsplit(">", 1)[-1].split(".", 1)[0] for path in page.paths]
+    found = at = start
+    while page.parents[at] >= 0 and tags[at] not in WHOLE:
+        up = page.parents[at]
+        if tags[up] == "body" and tags[at] not in PARTS:
+            break
+        added = chars[up] - chars[at]
+        if linked[up] - linked[at] > MOST_LINKED * added:
+            break
+        if added:
+            found = up
+        at = up
+    return found
+
+
 def best_path(page: Page) -> int:
-    """The number of the container path with the best score; -1 for a page without text.
+    """The number of the container path of the article; -1 for a page without text.
 
     Of equal scores the deeper, then the earlier path wins.
     """
-    own = [0.0] * len(page.paths)
+    if not page.blocks:
+        return -1
+    chars, linked = [0.0] * len(page.paths), [0.0] * len(page.paths)
     for block in page.blocks:
-        size = len(block.text)
-        own[block.path] += size * (1 - min(1.0, block.link_chars / size))
-    total = own[:]
-    for path in range(len(own) - 1, -1, -1):  # a path comes after those it lies in
-        if page.parents[path] >= 0:
-            total[page.parents[path]] += UPWARD * total[path]
-    return max(range(len(own)), key=lambda p: (total[p], page.paths[p].count(">"), -p), default=-1) if page.blocks else -1
+        chars[block.path] += len(block.text)
+        linked[block.path] += min(block.link_chars, len(block.text))
+    score = _up(page, [c - k for c, k in zip(chars, linked)], UPWARD)
+    best = max(range(len(score)), key=lambda p: (score[p], page.paths[p].count(">"), -p))
+    return _climb(page, best, _up(page, chars), _up(page, linked))
 
 
 def text_below(page: Page, path: str | None) -> list[str]:
@@ -214,6 +254,17 @@ def text_below(page: Page, path: str | None) -> list[str]:
     return [b.text for b in page.blocks if below[b.path]]
 
 
+def article_of(page: Page, agreed: str | None) -> list[str]:
+    """The blocks of a page's article, given the path its host agreed on."""
+    best = best_path(page)
+    if best < 0:
+        return []
+    own, by_host = text_below(page, page.paths[best]), text_below(page, agreed)
+    inside = agreed is not None and agreed.startswith(page.paths[best] + ">")
+    share = NEARLY_ALL if inside else LEAST_SHARE
+    return by_host if by_host and sum(map(len, by_host)) >= share * sum(map(len, own)) else own
+
+
 def host_of(url: str) -> Column:
     """The lower-case host of a URL column; NULL if it has none."""
     host = F.regexp_extract(F.lower(F.col(url)), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
@@ -254,7 +305,8 @@ def extract_pages(
 ) -> DataFrame:
     """``page_id, url, text`` for every row; the text is empty if the page has none.
 
-    A page without a host, or with a NULL or empty html, goes by its own best path.
+    A page without a host, or with a NULL or empty html, goes by its own best path. Repeated
+    rows vote and are returned as often as they occur; an empty table gives no rows.
     """
     winners = materialize(host_paths(pages, url_col, html_col).withColumnRenamed("host", "_host"), "host-paths")
     if winners.count() <= broadcast_hosts:
@@ -273,12 +325,7 @@ def extract_pages(
         for part in slices(batches):
             texts = []
             for html, path in zip(part.column("html").to_pylist(), part.column("path").to_pylist()):
-                page = parse(html)
-                best = best_path(page)
-                own = text_below(page, page.paths[best]) if best >= 0 else []
-                agreed = text_below(page, path)
-                enough = sum(map(len, agreed)) >= LEAST_SHARE * sum(map(len, own))
-                texts.append("\n\n".join(agreed if agreed and enough else own))
+                texts.append("\n\n".join(article_of(parse(html), path)))
             yield pa.RecordBatch.from_arrays(
                 [part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], names=schema.names
             )
