@@ -268,6 +268,60 @@ def test_edited_copies_beside_exact_ones(spark, make_docs, hot):
     assert contamination.drop_leaks(make_docs(rows), benchmark).count() == 0
 
 
+CHINESE = "\u5730\u7403\u7ed5\u592a\u9633\u516c\u8f6c\u4e00\u5468\u5927\u7ea6\u9700\u8981\u4e09\u767e\u516d\u5341\u4e94\u5929\u591a"
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_short_unspaced_and_partial_items(spark, make_docs, kind):
+    as_id = str if kind == "string" else int
+    question, long_item = "What is the capital of Peru?", prose(31_000, 600)
+    items = [(as_id(1), question), (as_id(2), CHINESE), (as_id(3), long_item), (as_id(4), "Who is he"), (None, question)]
+    part = " ".join(long_item.split()[150:350])
+    rows = [
+        (1, f"{prose(1, 50)} what is the CAPITAL of Peru {prose(2, 50)}"),
+        (2, f"\u524d{CHINESE}\u540e"),
+        (3, f"{prose(3, 50)} {part} {prose(4, 50)}"),
+        (4, f"{prose(5, 50)} what is the capital of France {prose(6, 20)} who is he"),
+        (5, "\u5730\u7403\u7ed5" + "\u597d" * 30),
+        (6, f"{prose(7, 50)} {' '.join(long_item.split()[10:25])}"),
+        (7, prose(8, 40_000)),
+    ]
+    benchmark = spark.createDataFrame(items, f"item_id {kind}, text string")
+    found = contamination.find_leaks(make_docs(rows), benchmark)
+    assert found.schema["item_id"].dataType == benchmark.schema["item_id"].dataType
+    got = {(r["doc_id"], r["item_id"]): r for r in found.collect()}
+    assert set(got) == {(1, as_id(1)), (1, None), (2, as_id(2)), (3, as_id(3))}
+    partial = got[3, as_id(3)]
+    assert round(partial["score"] * 600) >= 200 and partial["end_word"] - partial["start_word"] >= 200
+    kept = contamination.drop_leaks(make_docs(rows), benchmark)
+    assert {r["doc_id"] for r in kept.collect()} == {4, 5, 6, 7}
+
+
+def test_leaks_equal_an_alignment_of_every_pair(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id is not null")
+    benchmark = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    got = {(r["doc_id"], r["item_id"]) for r in contamination.find_leaks(docs, benchmark).collect()}
+    want, number = set(), {}
+    items = [(r["item_id"], contamination.words_of(r["text"] or "")) for r in benchmark.collect()]
+    items = [(i, np.array([number.setdefault(w, len(number) + 1) for w in words])) for i, words in items if len(words) >= 4]
+    for r in docs.collect():
+        words = np.array([number.get(w, 0) for w in contamination.words_of(r["text"] or "")])
+        for item_id, item in items:
+            need = contamination.needed_score(len(item))
+            # Word matches alone, without any order, are an upper bound of the score.
+            if len(words) and 2 * np.isin(words, item).sum() >= need and contamination.align(item, words)[0] >= need:
+                want.add((r["doc_id"], item_id))
+    assert got == want and want
+
+
+def test_numbers_of_ngrams_may_wrap_around():
+    index = contamination.ItemIndex([(1, prose(1, 60))])
+    index.base = (1 << 40) + 1
+    index.grams = np.unique(index._codes(index.words[0]))
+    index.choose_seeds(np.ones(len(index.grams), np.int64))
+    assert [m[0] for m in index.matches(f"x {prose(1, 60)} y")] == [1] and index.matches(prose(2, 90)) == []
+
+
 # ---------------------------------------------------------------- packs
 
 

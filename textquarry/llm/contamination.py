@@ -4,7 +4,9 @@ The n-grams of the test items are counted over all documents, and every one that
 a seed: an edited copy is found by whatever n-grams its editor left, however often the others
 stand elsewhere. Where a document holds a seed, the passage around it is aligned with the item
 word by word, which finds edited and paraphrased copies; passages that share too few words to
-reach the least score are skipped by an exact bound.
+reach the least score are skipped by an exact bound. Short items must match word for word, and
+a long run of a long item is a leak whatever its share of the item. In scripts written without
+blanks every character is a word.
 
 Items are taken in blocks of ``BLOCK_CHARS`` characters, so an index is always small,
 and every block is held against all documents.
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from textquarry.llm.common import materialize, slices, text_of
 from textquarry.llm.global_order import global_order
@@ -33,15 +36,33 @@ SEED_SPAN = 8
 MATCH, MISMATCH, GAP = 2.0, -2.0, -2.0
 # Least alignment score as a share of the item's score with itself.
 MIN_SCORE = 0.4
-# Shorter items can't be told from chance and are ignored.
-MIN_ITEM_WORDS = 8
+# A passage that scores like this many copied words is a leak of an item of any length.
+LONG_RUN = 40
+# Items shorter than EXACT_WORDS count only where they stand word for word; those shorter than
+# MIN_ITEM_WORDS can't be told from chance and are ignored.
+EXACT_WORDS = 8
+MIN_ITEM_WORDS = 4
 BLOCK_CHARS = 2_000_000
 
+# Thai to Burmese, Khmer, kana, Chinese characters: written without blanks.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
 _WORD = re.compile(r"[^\W_]+")
+_WORD_OR_CHAR = re.compile(rf"[^\W_{_UNSPACED}]+|[^\W_]")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters and digits in lower case; single characters in scripts without blanks."""
+    text = text.lower()
+    if text.isascii() or not _HAS_UNSPACED.search(text):
+        return _WORD.findall(text)
+    return _WORD_OR_CHAR.findall(text)
+
+
+def needed_score(words: int, min_score: float = MIN_SCORE) -> float:
+    """The alignment score at which a passage counts as a leak of an item of so many words."""
+    share = 1.0 if words < EXACT_WORDS else min_score
+    return MATCH * min(share * words, max(LONG_RUN, EXACT_WORDS))
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
@@ -72,15 +93,17 @@ class ItemIndex:
                     np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], np.int64)
                 )
         self.base = len(self.vocabulary) + 1
-        if self.base >= 1 << 21:
-            raise ValueError("a block has too many different words")
         grams = [self._codes(w) for w in self.words]
         self.grams = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.int64)
         self.seeds = np.zeros(0, np.int64)
         self.places: list[list[tuple[int, int]]] = []
 
     def _codes(self, words: np.ndarray) -> np.ndarray:
-        """A number for each n-gram; 0 where a word is no item's."""
+        """A number for each n-gram; 0 where a word is no item's.
+
+        Beyond 2^21 different words numbers wrap around; n-grams that share one are told
+        apart by the alignment.
+        """
         n = max(0, len(words) - GRAM + 1)
         code, known = np.zeros(n, np.int64), np.ones(n, bool)
         for i in range(GRAM):
@@ -133,7 +156,7 @@ class ItemIndex:
         found = []
         for item, spans in ranges.items():
             own, best = self.words[item], None
-            need = min_score * MATCH * len(own)
+            need = needed_score(len(own), min_score)
             have = Counter(own.tolist())
             for low, high in spans:
                 passage = words[low:high]
@@ -206,6 +229,8 @@ def find_leaks(
 
     One row per document and item: its best passage. Documents without a leak have no
     row; NULL and empty texts never have one. Repeated documents and items give rows each.
+    ``score`` is the share of the item's own score, so a long run of a long item may have one
+    below ``min_score``. An empty table on either side gives no rows.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     item_type = benchmark.schema[item_col].dataType
@@ -218,6 +243,7 @@ def find_leaks(
             T.StructField("end_word", T.LongType()),
         ]
     )
+    item_arrow = to_arrow_type(item_type)
     found = docs.sparkSession.createDataFrame([], schema)
     for index in build_indexes(docs, benchmark, text_col, item_col):
 
@@ -229,7 +255,7 @@ def find_leaks(
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).take(pa.array(owner, pa.int64())),
-                        pa.array(item) if owner else pa.array([], pa.int64()),
+                        pa.array(item, item_arrow),
                         pa.array(score, pa.float64()),
                         pa.array(start, pa.int64()),
                         pa.array(end, pa.int64()),
