@@ -1,6 +1,7 @@
 """Operators that hold documents against each other: shards, copies, leaks, packs, repeats."""
 
 import collections
+import itertools
 import hashlib
 import random
 import zlib
@@ -365,6 +366,48 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert check_plan(packing.bin_completion(counts, 60), counts, 60) == optimum(lengths, 60)
 
 
+@pytest.mark.parametrize("counts, want", [({59: 4, 10: 8, 7: 12}, 4), ({59: 20, 10: 40, 7: 60}, 20)])
+def test_bins_that_need_a_middle_number_of_a_length(counts, want):
+    assert check_plan(packing.bin_completion(counts, 100), counts, 100) == want
+
+
+def test_bin_completion_is_optimal_where_many_fit():
+    rng = random.Random(18)
+    for _ in range(60):
+        few = rng.sample(range(6, 32), 4)
+        lengths = [rng.choice(few) for _ in range(12)]
+        counts = collections.Counter(lengths)
+        assert check_plan(packing.bin_completion(counts, 60), counts, 60) == optimum(lengths, 60)
+
+
+def test_fillings_are_all_undominated_ones():
+    rng = random.Random(28)
+    for _ in range(30):
+        counts = {n: rng.randint(1, 6) for n in rng.sample(range(4, 40), 5)}
+        largest, capacity = max(counts), 60
+        room, rest = capacity - largest, dict(counts)
+        rest[largest] -= 1
+        got = {tuple(sorted(parts[1:])) for parts in packing.fillings(counts, largest, capacity, packing.Budget(1, 10**6))}
+        names = [n for n in sorted(rest) if rest[n]]
+        if room in names:
+            assert got == {((room, 1),)}
+            continue
+        want = set()
+        for uses in itertools.product(*[range(rest[n] + 1) for n in names]):
+            left = room - sum(n * u for n, u in zip(names, uses))
+            held = [0, *[n for n, u in zip(names, uses) if u]]
+            spare = [n for n, u in zip(names, uses) if u < rest[n]]
+            if left >= 0 and not any(m < n <= m + left for m in held for n in spare):
+                want.add(tuple((n, u) for n, u in zip(names, uses) if u))
+        assert got == want
+
+
+def test_a_spent_budget_keeps_the_incumbent():
+    counts = {59: 4, 10: 8, 7: 12}
+    for nodes, steps in ((0, 100), (5, 3), (1, 10**6)):
+        assert check_plan(packing.bin_completion(counts, 100, nodes, steps), counts, 100) in (4, 5)
+
+
 def test_bin_completion_on_large_counts():
     rng = random.Random(9)
     for _ in range(8):

@@ -3,14 +3,17 @@
 Documents are tokenized and cut once, in Spark. How many pieces there are of each length
 is a table of at most ``capacity`` rows, and it alone decides the packing: bin completion
 takes the longest length that is left, enumerates the undominated fillings of the rest
-of its bin, gives the best filling to as many bins as the counts allow, and branches. The
+of its bin, and branches on the filling and on how many bins get it, most of them first. The
 best-fit-decreasing packing is the first incumbent; a branch ends when the space it has
-wasted, or its lower bound, shows that it cannot beat the incumbent. Pieces then find
+wasted, or its lower bound, shows that it cannot beat the incumbent, or when as few bins have
+led to the same pieces left before. Nothing is left out of the enumeration, so a search that
+ends by itself is optimal; one that spends its branches or steps keeps the incumbent. Pieces then find
 their bin by their rank within their length, again in Spark.
 """
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import re
 import zlib
@@ -31,8 +34,11 @@ from textquarry.llm.global_order import global_order
 CAPACITY = 2048
 END_ID = 0
 CACHED_WORDS = 300_000
+# Branches of a search, and steps of the enumeration of fillings in all of them.
 MAX_NODES = 8_000
-MAX_FILLINGS = 50
+MAX_STEPS = 2_000_000
+# So many fillings at a time are sorted by waste.
+SORTED_FILLINGS = 50
 
 # ---------------------------------------------------------------- tokens
 
@@ -230,53 +236,104 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return int((big + middle + np.maximum(0, -(-(small - room) // capacity))).max())
 
 
-def fillings(counts: dict[int, int], largest: int, capacity: int, most: int = MAX_FILLINGS) -> list[tuple]:
-    """Undominated fillings of a bin that holds ``largest``, least waste first.
+class Budget:
+    """Branches and enumeration steps that a search may still spend."""
+
+    def __init__(self, nodes: int, steps: int):
+        self.nodes, self.steps = nodes, steps
+
+    @property
+    def spent(self) -> bool:
+        return self.nodes <= 0 or self.steps <= 0
+
+
+def fillings(counts: dict[int, int], largest: int, capacity: int, budget: Budget) -> Iterator[tuple]:
+    """All undominated fillings of a bin that holds ``largest``, as they are found.
 
     A filling is dominated if one of its pieces can be exchanged for a longer one that is
     left and still fits, or if another piece still fits. With one piece that fills the
-    bin exactly, that filling dominates all others. At most ``most`` are listed.
+    bin exactly, that filling dominates all others. Fillings come ``SORTED_FILLINGS`` at a
+    time, those of a portion by waste; the first ones take the most of the longest lengths.
     """
     room = capacity - largest
     available = dict(counts)
     available[largest] -= 1
     lengths = [n for n in sorted(available, reverse=True) if available[n] and n <= room]
     if not lengths:
-        return [((largest, 1),)]
+        yield ((largest, 1),)
+        return
     if lengths[0] == room:
-        return [((largest, 1), (room, 1))]
-    found: list[tuple[int, tuple]] = []
-    steps = 0
-    stack = [(0, room, ())]
-    while stack and len(found) < most and steps < 50 * most:
-        steps += 1
-        at, left, parts = stack.pop()
-        while at < len(lengths) and lengths[at] > left:
-            at += 1
-        if at == len(lengths):
-            used = dict(parts)
-            spare = [n for n in lengths if available[n] > used.get(n, 0)]
-            # Exchange or addition within the space left over would be at least as good.
-            if left and any(m < n <= m + left for m in [*used, 0] for n in spare):
-                continue
-            found.append((left, parts))
-            if not left:
-                break
-            continue
-        n = lengths[at]
-        fit = min(available[n], left // n)
-        # Depth first; taking the most of the longest length comes off the stack first.
-        for take in range(0, fit + 1) if fit <= 3 else (0, 1, fit):
-            stack.append((at + 1, left - take * n, parts + ((n, take),) if take else parts))
-    found.sort(key=lambda f: (f[0], len(f[1])))
-    return [((largest, 1), *parts) for _, parts in found] or [((largest, 1),)]
+        yield ((largest, 1), (room, 1))
+        return
+
+    def undominated() -> Iterator[tuple[int, tuple]]:
+        # Next length to decide, room left, pieces taken, and how many of that length to try.
+        stack = [(0, room, (), None)]
+        while stack and not budget.spent:
+            budget.steps -= 1
+            at, left, parts, take = stack.pop()
+            if take is None:
+                while at < len(lengths) and lengths[at] > left:
+                    at += 1
+                if at == len(lengths):
+                    used = dict(parts)
+                    spare = [n for n in lengths if available[n] > used.get(n, 0)]
+                    # Exchange or addition within the space left over would be at least as good.
+                    if not left or not any(m < n <= m + left for m in [*used, 0] for n in spare):
+                        yield left, parts
+                    continue
+                take = min(available[lengths[at]], left // lengths[at])
+            n = lengths[at]
+            if take:
+                stack.append((at, left, parts, take - 1))
+            stack.append((at + 1, left - take * n, parts + ((n, take),) if take else parts, None))
+
+    found = undominated()
+    while portion := list(itertools.islice(found, SORTED_FILLINGS)):
+        portion.sort(key=lambda f: (f[0], len(f[1])))
+        for _, parts in portion:
+            yield ((largest, 1), *parts)
+
+
+def _branches(left: dict[int, int], capacity: int, budget: Budget) -> Iterator[Filling]:
+    """Every filling for the longest length, for the most bins, then for fewer and fewer."""
+    largest = max(left)
+
+    def each() -> Iterator[tuple[tuple, int]]:
+        for parts in fillings(left, largest, capacity, budget):
+            merged: dict[int, int] = {}
+            for n, uses in parts:
+                merged[n] = merged.get(n, 0) + uses
+            yield tuple(merged.items()), min(left[n] // uses for n, uses in merged.items())
+
+    for parts, most in each():
+        yield Filling(most, parts)
+    for parts, most in each():
+        for bins in range(most - 1, 0, -1):
+            yield Filling(bins, parts)
 
 
-def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = MAX_NODES) -> list[Filling]:
+def _without(left: dict[int, int], filling: Filling) -> dict[int, int]:
+    rest = dict(left)
+    for n, uses in filling.parts:
+        rest[n] -= filling.bins * uses
+        if not rest[n]:
+            del rest[n]
+    return rest
+
+
+def _state(left: dict[int, int]) -> bytes:
+    return hashlib.blake2b(repr(sorted(left.items())).encode(), digest_size=16).digest()
+
+
+def bin_completion(
+    counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = MAX_NODES, max_steps: int = MAX_STEPS
+) -> list[Filling]:
     """Fillings that use every piece once, in as few bins as the search finds.
 
-    Never more than best-fit decreasing needs. The search ends when the incumbent meets
-    the lower bound (then it is optimal) or after ``max_nodes`` branches.
+    Never more than best-fit decreasing needs. The packing is optimal if the incumbent
+    meets the lower bound or the search runs out of branches; otherwise the search ends after
+    ``max_nodes`` branches or ``max_steps`` steps of enumeration.
     """
     counts = {n: c for n, c in counts.items() if c}
     if any(not 0 < n <= capacity for n in counts):
@@ -284,56 +341,35 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, max_nodes:
     incumbent = best_fit_decreasing(counts, capacity)
     fewest, bound = sum(f.bins for f in incumbent), lower_bound(counts, capacity)
     total = sum(n * c for n, c in counts.items())
-    # One entry per depth: counts left, bins and waste so far, filling chosen, fillings to try.
+    budget = Budget(max_nodes, max_steps)
+    seen: dict[bytes, int] = {}
+    # One entry per depth: pieces left, bins so far, waste so far, fillings to try.
     path: list[Filling] = []
-    stack = [(counts, 0, 0, None)]
-    pending: list[Iterator] = []
-    nodes = 0
-
-    def children(left: dict[int, int], bins: int, waste: int) -> Iterator:
-        largest = max(left)
-        for parts in fillings(left, largest, capacity):
-            merged: dict[int, int] = {}
-            for n, uses in parts:
-                merged[n] = merged.get(n, 0) + uses
-            times = min(left[n] // uses for n, uses in merged.items())
-            rest = dict(left)
-            for n, uses in merged.items():
-                rest[n] -= times * uses
-                if not rest[n]:
-                    del rest[n]
-            gap = capacity - sum(n * uses for n, uses in merged.items())
-            yield rest, bins + times, waste + times * gap, Filling(times, tuple(merged.items()))
-
-    while fewest > bound and nodes < max_nodes:
-        if stack:
-            left, bins, waste, chosen = stack.pop()
-            nodes += 1
-            if chosen is not None:
-                path.append(chosen)
-            if not left:
-                if bins < fewest:
-                    fewest, incumbent = bins, list(path)
-            # Waste bound: a better packing has at most so much empty space in all.
-            elif waste <= (fewest - 1) * capacity - total and bins + lower_bound(left, capacity) < fewest:
-                pending.append(children(left, bins, waste))
-                nxt = next(pending[-1], None)
-                if nxt is not None:
-                    stack.append(nxt)
-                    continue
-                pending.pop()
-            if path and chosen is not None:
+    depth = [(counts, 0, 0, _branches(counts, capacity, budget))] if counts else []
+    while depth and fewest > bound and not budget.spent:
+        left, bins, waste, branches = depth[-1]
+        filling = next(branches, None)
+        if filling is None:
+            depth.pop()
+            if path:
                 path.pop()
-        while pending and not stack:
-            nxt = next(pending[-1], None)
-            if nxt is not None:
-                stack.append(nxt)
-            else:
-                pending.pop()
-                if path:
-                    path.pop()
-        if not stack:
-            break
+            continue
+        budget.nodes -= 1
+        rest, bins = _without(left, filling), bins + filling.bins
+        waste += filling.bins * (capacity - sum(n * uses for n, uses in filling.parts))
+        if not rest:
+            if bins < fewest:
+                fewest, incumbent = bins, [*path, filling]
+            continue
+        # Waste bound: a better packing has at most so much empty space in all.
+        if waste > (fewest - 1) * capacity - total or bins + lower_bound(rest, capacity) >= fewest:
+            continue
+        state = _state(rest)
+        if seen.get(state, bins + 1) <= bins:
+            continue
+        seen[state] = bins
+        path.append(filling)
+        depth.append((rest, bins, waste, _branches(rest, capacity, budget)))
     return incumbent
 
 
