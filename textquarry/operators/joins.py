@@ -7,6 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textquarry.functions.hashing import let
+from textquarry.operators.decontamination import BLOOM_WORDS, bloom_filter, may_contain
+from textquarry.operators.skew import lookup_by_frequency
+
 
 def join_1to1(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
     """Equi-join that fails when a key repeats on either side.
@@ -54,6 +58,44 @@ def join_task_info(scores: DataFrame, info: DataFrame) -> DataFrame:
     return scores.withColumn("task_base", task_base(F.col("task"))).join(keyed, ["task_base", "metric"]).drop("task_base")
 
 
+def prefix_join(
+    df: DataFrame, prefixes: DataFrame, key: str, text: str, prefix: str = "prefix", bloom_words: int = BLOOM_WORDS
+) -> DataFrame:
+    """``key``, ``prefix`` and the prefix's other columns for every listed prefix a text starts with.
+
+    A text is cut at every length that some prefix has, and these starts meet the prefixes as
+    equals, so a list of millions needs neither a regular expression nor a comparison of all with
+    all. Starts are held against a Bloom filter of fixed size in their own task; only those that
+    pass are shuffled, and a prefix that many texts start with is copied as often as it is asked for.
+    NULL and empty texts and prefixes meet nothing; of a repeated prefix the least row counts.
+    """
+    rest = [c for c in prefixes.columns if c != prefix]
+    listed = prefixes.where(F.length(prefix) > 0)
+    # One row; at most as many lengths as the longest prefix has characters.
+    lengths = listed.agg(F.array_sort(F.collect_set(F.length(prefix))).alias("_lengths"))
+
+    def starts(s: Column) -> Column:
+        fitting = F.filter("_lengths", lambda n: n <= F.length(s))
+        return F.transform(fitting, lambda n: F.substr(s, F.lit(1), n))
+
+    cut = df.select(F.col(key), F.col(text).alias("_text")).crossJoin(F.broadcast(lengths))
+    cut = cut.select(key, F.explode(let(F.col("_text"), starts)).alias("_start")).withColumn("_h", F.xxhash64("_start"))
+    bloom = bloom_filter(listed.select(F.xxhash64(prefix).alias("_h")), "_h", bloom_words)
+    passed = may_contain(cut, bloom, "_h", bloom_words).select(key, "_start")
+
+    row = F.struct(*rest) if rest else F.struct(F.lit(1).alias("_none"))
+    one = listed.groupBy(F.col(prefix).alias("_start")).agg(F.min(row).alias("_row"))
+    asked = passed.groupBy("_start").agg(F.count("*").alias("_asked"))
+    met = lookup_by_frequency(passed, one.join(asked, "_start"), "_start", "_asked", [key]).where("_asked IS NOT NULL")
+    return met.select(key, F.col("_start").alias(prefix), *[F.col(f"_row.`{c}`").alias(c) for c in rest])
+
+
+def first_prefix(df: DataFrame, prefixes: DataFrame, key: str, text: str, prefix: str = "prefix", order: str = "ord", **options) -> DataFrame:
+    """``key, prefix``: of the listed prefixes a text starts with, the one first in order."""
+    met = prefix_join(df, prefixes, key, text, prefix, **options)
+    return met.groupBy(key).agg(F.min_by(prefix, order).alias(prefix))
+
+
 def parameter_grid(df: DataFrame, name: str, values: list, exceptions: list[tuple] | None = None, key: str | None = None) -> DataFrame:
     """Every row with every listed parameter value, except the named (row key, value) pairs.
 

@@ -38,6 +38,36 @@ def filter_known_urls_raw(t):
     return X.filter_known_urls(t.pages, prefixes=ALL_PREFIXES, strip_scheme=False).select("page_id")
 
 
+@query(
+    "prefix_join", "J5",
+    f"""WITH p AS (SELECT DISTINCT {_HOST} || '/' || split_part(url, '/', 4) AS prefix FROM pages
+                  UNION SELECT DISTINCT {_HOST} FROM pages),
+        u AS (SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS target FROM pages)
+        SELECT page_id, prefix, length(prefix)::INT AS n FROM u JOIN p ON length(prefix) > 0 AND starts_with(target, prefix)""",
+)
+def prefix_join(t):
+    from textquarry.operators.joins import prefix_join as join
+
+    host = X.url_host(F.col("url"))
+    folder = F.concat(host, F.lit("/"), F.coalesce(F.get(F.split("url", "/"), F.lit(3)), F.lit("")))
+    prefixes = t.pages.select(folder.alias("prefix")).union(t.pages.select(host)).distinct()
+    targets = t.pages.select("page_id", F.regexp_replace("url", "^[a-z]+://", "").alias("target"))
+    return join(targets, prefixes.withColumn("n", F.length("prefix")), "page_id", "target")
+
+
+@query(
+    "known_url_first_prefix", "F1 J5",
+    f"""WITH p(ord, prefix) AS (VALUES {_PREFIX_ROWS})
+        SELECT page_id, arg_min(p.prefix, p.ord) AS prefix
+        FROM pages JOIN p ON starts_with(regexp_replace(url, '^[a-z]+://', ''), p.prefix) GROUP BY page_id""",
+)
+def known_url_first_prefix(t):
+    from textquarry.operators.joins import first_prefix
+
+    prefixes = t.spark.createDataFrame(list(enumerate(ALL_PREFIXES)), "ord int, prefix string")
+    return first_prefix(t.pages.withColumn("url", F.regexp_replace("url", "^[a-z]+://", "")), prefixes, "page_id", "url")
+
+
 def crawl_rules(t):
     """Crawl rules derived from the pages: one rule per host and first folder."""
     host = X.url_host(F.col("url"))

@@ -356,6 +356,53 @@ def split_sentences(t):
     return t.documents.select("doc_id", F.posexplode(X.sentences(F.col("text"))).alias("sentence_id", "sentence"))
 
 
+_BARE = r"lower(regexp_replace({}, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}.]+$', '', 'g'))"
+_PERIODS = rf"""tokens AS (SELECT unnest(regexp_split_to_array(text, '\s+')) AS token FROM documents),
+        bare AS (SELECT {_BARE.format('token')} AS b FROM tokens),
+        seen AS (SELECT regexp_replace(b, '\.$', '') AS word, ends_with(b, '.') AS dot FROM bare WHERE b <> ''),
+        counts AS (SELECT word, count(*) FILTER (dot) AS k, count(*) FILTER (NOT dot) AS r FROM seen GROUP BY word),
+        usual AS (SELECT least(greatest(sum(k) / sum(k + r), 1e-9), 0.98) AS q FROM counts),
+        sized AS (SELECT word, k, r, q, length(replace(word, '.', '')) AS l FROM counts, usual
+                  WHERE regexp_matches(word, '^\p{{L}}[\p{{L}}.]*$')),
+        periods AS (SELECT word, k, r, 2 * (k * (ln(0.99) - ln(q)) + r * (ln(0.01) - ln(1 - q)))
+                           * exp(-l) * (length(word) - l + 1) * exp(-r * ln(l)) AS score FROM sized)"""
+
+
+@query(
+    "abbreviation_counts", "T34",
+    f"""WITH {_PERIODS}
+        SELECT word, k AS with_period, r AS without_period, round(score, 4) + 0.0 AS score, k >= 5 AND score >= 0.3 AS is_short
+        FROM periods WHERE k > 0""",
+)
+def abbreviation_counts(t):
+    from textquarry.operators.sentences import LEAST_SCORE, LEAST_SEEN, period_counts
+
+    counts = period_counts(t.documents).where("with_period > 0")
+    short = (F.col("with_period") >= LEAST_SEEN) & (F.col("score") >= LEAST_SCORE)
+    # Adding zero makes a negative zero a plain one, here and in the twin.
+    return counts.withColumn("is_short", short).withColumn("score", F.round("score", 4) + 0.0)
+
+
+@query(
+    "split_sentences_trained", "T34",
+    rf"""WITH {_PERIODS},
+        s AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS parts FROM documents),
+        p AS (SELECT doc_id, generate_subscripts(parts, 1) AS part, unnest(parts) AS said FROM s),
+        w AS (SELECT doc_id, part, said,
+                     regexp_replace({_BARE.format(r"regexp_extract(said, '(\S+)\.$', 1)")}, '\.$', '') AS word FROM p),
+        m AS (SELECT doc_id, part, said, coalesce(score IS NOT NULL OR regexp_matches(w.word, '^\p{{L}}$'), FALSE) AS goes_on
+              FROM w LEFT JOIN (SELECT word, score FROM periods WHERE k >= 5 AND score >= 0.3) a ON a.word = w.word AND w.word <> ''),
+        i AS (SELECT doc_id, part, said, coalesce(sum((NOT goes_on)::INT) OVER (PARTITION BY doc_id ORDER BY part
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS sentence_id FROM m)
+        SELECT doc_id, sentence_id, string_agg(said, ' ' ORDER BY part) AS sentence FROM i GROUP BY doc_id, sentence_id""",
+)
+def split_sentences_trained(t):
+    from textquarry.operators.sentences import abbreviations, period_counts
+    from textquarry.operators.sentences import split_sentences as split
+
+    return split(t.documents, abbreviations(period_counts(t.documents)))
+
+
 @query(
     "fit_template", "T35",
     """WITH c AS (SELECT conv_id, regexp_extract_all(text, '[^ \\n]+') AS q, turn FROM conversations),
