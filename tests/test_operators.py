@@ -408,3 +408,31 @@ def test_smallest_hashes_refine_the_edge_bin(spark, monkeypatch, ranked_rows):
         chosen, rest = Y.smallest_hashes(df, n, "id")
         assert {r["id"] for r in chosen.collect()} == set(ordered[:n])
         assert {r["id"] for r in rest.collect()} == set(ordered[n:])
+
+
+def test_published_models_have_sizes_and_tokens(spark):
+    from textquarry.operators.evaluation import checkpoint_tokens
+
+    want = {
+        "runs/OLMo-2-1124-7B/stage1-step1000-tokens5.5B": (7.0, 5.5),
+        "runs/OLMo-2-1124-7B": (7.0, None),
+        "runs/Apertus-8B": (8.0, 15000.0),
+        "runs/Apertus-8B-tokens210B": (8.0, 210.0),
+        "runs/SmolLM2-1.7B/step-125000": (1.711376384, 250.0),
+        "runs/SmolLM2-1.7B": (1.711376384, 11000.0),
+        "runs/Qwen3-0.6B-Base": (0.6, 36000.0),
+        "runs/Qwen2.5-14B": (14.0, 18000.0),
+        "runs/Ministral-3-8B": (8.0, 8000.0),
+        "runs/1b_phase1/step=10": (1.319309312, 10 * 4096 * 1024 / 1e9),
+    }
+    df = spark.createDataFrame([(p,) for p in want], "path string")
+    got = {r.path: r for r in checkpoint_tokens(df).collect()}
+    for path, (size, tokens) in want.items():
+        assert got[path].model_size == size, path
+        if path.startswith("runs/1b"):
+            assert got[path].tokens >= tokens
+        else:
+            assert got[path].tokens == tokens, path
+            assert got[path].FLOPs == (None if tokens is None else size * tokens * 6 * 1e18), path
+    with pytest.raises(Exception, match="unknown model size"):
+        checkpoint_tokens(spark.createDataFrame([("runs/other/step=1",)], "path string")).collect()

@@ -34,18 +34,66 @@ TOKENS_PER_STEP = 4096 * 1024
 MODEL_SIZES = [("llama1b", 1.235290112), ("1b", 1.319309312), ("8b", 8.075686912), ("23b", 23.216467968)]
 
 
+# Families of published models, in the order they are looked for: a mark in the path,
+# parameters in billions (None: the number that follows the mark), training tokens in billions where
+# the path does not tell (None: unknown), the pattern of what it tells, and billions of tokens a unit.
+EXTERNAL_MODELS = [
+    ("OLMo-2-0425-1B", 1.279395840, None, "-tokens([0-9.]+)B", 1.0),
+    ("OLMo-2-1124-7B", 7.0, None, "-tokens([0-9.]+)B", 1.0),
+    ("OLMo-2-1124-13B", 13.0, None, "-tokens([0-9.]+)B", 1.0),
+    ("OLMo-2-0325-32B", 32.234279936, None, "-tokens([0-9.]+)B", 1.0),
+    ("Apertus-8B", 8.0, 15000.0, "-tokens([0-9.]+)B", 1.0),
+    ("EuroLLM-1.7B", 1.394706432, 4000.0, None, 1.0),
+    ("EuroLLM-9B", 9.0, 4000.0, None, 1.0),
+    ("EuroLLM-22B", 22.0, 4000.0, None, 1.0),
+    ("salamandra-2b", 2.0, 12875.0, None, 1.0),
+    ("salamandra-7b", 7.768117248, 12875.0, None, 1.0),
+    ("Teuken-7B", 7.0, 6000.0, None, 1.0),
+    ("SmolLM2-1.7B", 1.711376384, 11000.0, "step-([0-9.]+)", 0.002),
+    ("SmolLM3-3B", 3.075098624, 11200.0, None, 1.0),
+    ("Llama-2-7b", 6.9, 2000.0, None, 1.0),
+    ("Llama-3.2-1B", 1.23, 9000.0, None, 1.0),
+    ("Llama-3.1-8B", 8.0, 15000.0, None, 1.0),
+    ("Mistral-7B", 7.0, 8000.0, None, 1.0),
+    ("Ministral-3-", None, 8000.0, None, 1.0),
+    ("Qwen3-", None, 36000.0, None, 1.0),
+    ("Qwen2.5-", None, 18000.0, None, 1.0),
+    ("Qwen2-", None, 7000.0, None, 1.0),
+]
+
+
+def external_model(path: Column, families: list[tuple] | None = None) -> Column:
+    """``struct<model_size, tokens>`` of a published model's path, in billions; NULL for any other path.
+
+    ``families`` are rows like those of ``EXTERNAL_MODELS``; the first whose mark the path holds decides.
+    """
+    found = F.lit(None)
+    for mark, size, tokens, pattern, unit in reversed(EXTERNAL_MODELS if families is None else families):
+        named = F.regexp_extract(path, mark.replace(".", r"\.") + "([0-9]+(?:\\.[0-9]+)?)B", 1)
+        parameters = F.nullif(named, F.lit("")).cast("double") if size is None else F.lit(size)
+        known = F.lit(tokens).cast("double")
+        if pattern:
+            # A last point belongs to the file's name.
+            told = F.nullif(F.regexp_replace(F.regexp_extract(path, pattern, 1), r"\.$", ""), F.lit(""))
+            known = F.coalesce(told.try_cast("double") * unit, known)
+        row = F.struct(parameters.alias("model_size"), known.alias("tokens"))
+        found = F.when(F.contains(path, F.lit(mark)), row).otherwise(found)
+    return found
+
+
 def model_size(path: Column) -> Column:
-    out = None
-    for mark, size in MODEL_SIZES:
-        test = F.contains(F.lower(path), F.lit(mark))
-        out = F.when(test, F.lit(size)) if out is None else out.when(test, F.lit(size))
-    return out.otherwise(F.raise_error(F.concat(F.lit("unknown model size: "), path)).cast("double"))
+    """Parameters in billions of an own checkpoint or a published model; other paths are an error."""
+    out = F.raise_error(F.concat(F.lit("unknown model size: "), path)).cast("double")
+    for mark, size in reversed(MODEL_SIZES):
+        out = F.when(F.contains(F.lower(path), F.lit(mark)), F.lit(size)).otherwise(out)
+    return F.coalesce(external_model(path)["model_size"], out)
 
 
 def checkpoint_tokens(df: DataFrame, path: str = "path") -> DataFrame:
     """Billions of training tokens seen by a checkpoint, model size and training FLOPs.
 
-    A step count that is not global starts at the sum of the earlier phases.
+    A step count that is not global starts at the sum of the earlier phases. Published models
+    have the tokens of ``EXTERNAL_MODELS``, NULL where these are unknown.
     """
     p = F.col(path)
     two = sum(PHASE_STEPS.values())
@@ -58,9 +106,12 @@ def checkpoint_tokens(df: DataFrame, path: str = "path") -> DataFrame:
 
     context = F.when(has("_32k_") | has("_131k_v4_"), annealed).when(has("_65k_") | has("_131k_"), extended).otherwise(two)
     before = F.when(has("phase2"), PHASE_STEPS["phase1"]).otherwise(0) + context
-    step = step_number(p)
+    external = external_model(p)
+    # A published model's path needs no step.
+    step = step_number(F.when(external.isNull(), p).otherwise("step0"))
     steps = step["step"] + F.when(step["is_global"], 0).otherwise(before)
-    out = df.withColumn("model_size", model_size(p)).withColumn("tokens", steps * TOKENS_PER_STEP / F.lit(1e9))
+    tokens = F.when(external.isNull(), steps * TOKENS_PER_STEP / F.lit(1e9)).otherwise(external["tokens"])
+    out = df.withColumn("model_size", model_size(p)).withColumn("tokens", tokens)
     return out.withColumn("FLOPs", F.col("model_size") * F.col("tokens") * 6 * 1e18)
 
 
