@@ -54,9 +54,12 @@ _WORD_OR_CHAR = re.compile(rf"[^\W_{_UNSPACED}]+|[^\W_]")
 def words_of(text: str) -> list[str]:
     """Runs of letters and digits in lower case; single characters in scripts without blanks."""
     text = text.lower()
-    if text.isascii() or not _HAS_UNSPACED.search(text):
-        return _WORD.findall(text)
-    return _WORD_OR_CHAR.findall(text)
+    try:
+        text.encode("latin-1")  # the quickest way to see that no such script is there
+    except UnicodeEncodeError:
+        if _HAS_UNSPACED.search(text):
+            return _WORD_OR_CHAR.findall(text)
+    return _WORD.findall(text)
 
 
 def needed_score(words: int, min_score: float = MIN_SCORE) -> float:
