@@ -594,6 +594,26 @@ def test_pages_of_one_template(make_docs):
     assert sorted(kept) == sorted(first.values())
 
 
+def test_stage_meets_by_simhash(spark, make_docs, monkeypatch):
+    """The stage's SimHash step alone joins all copies within its ball, and every pair it names is one."""
+    from textquarry.llm import near_copies as stage
+
+    own = [shingles(t) for _, t in near_copies() + near_copies_of_each()]
+    prints = [(stage.content_of(s) - (1 << 63), simhash.majority(s) - (1 << 63)) for s in own]
+    pairs = stage.ball_pairs(spark.createDataFrame(prints, "content bigint, fp bigint").distinct(), 2).collect()
+    roots = brute_components(prints, lambda a, b: ((a[1] ^ b[1]) & (1 << 64) - 1).bit_count() <= 2)
+    got = collections.defaultdict(set)
+    for a, b in ((r["a"], r["b"]) for r in pairs):
+        got[a].add(b), got[b].add(a)
+    first = {c: r for (c, _), r in zip(prints, roots)}
+    assert pairs and all(first[a] == first[b] for a in got for b in got[a])
+    assert {c for c, r in first.items() if list(first.values()).count(r) > 1} == set(got)
+    # Without bands it is the only way to meet, and exact copies but for one word still go.
+    monkeypatch.setattr(stage, "_elected", lambda met, salts: spark.createDataFrame([], "a bigint, b bigint"))
+    monkeypatch.setattr(stage, "_apart", lambda *_: spark.createDataFrame([], "a bigint, b bigint"))
+    assert keep_one_per_copy(make_docs(near_copies())).count() < len(near_copies())
+
+
 def test_prefix_join_loses_no_pair(spark):
     from textquarry.llm import near_copies
 

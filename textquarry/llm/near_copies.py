@@ -1,13 +1,16 @@
-"""Near copies by Jaccard similarity of word shingles: MinHash bands, then exact checks.
-
-Every text is the set of its shingles. Texts with equal sets are one content; contents that
-share a band of MinHash values meet, and a link is made only where the exact similarity is
-high enough. A group is what links reach, so pairs within one group need no link of their
-own. First each member of a meeting is held against the one that a fixed order puts first,
-then against ``ELECTED`` others that differ from band to band, which joins large groups of
-copies at a linear cost. Then every pair of a meeting that still lies in two groups is looked at: directly where such pairs are few for the meeting's
-size, and otherwise (pages of one template, say) by an exact prefix join of the members'
-shingles, rarest first. No pair of a meeting is left out.
+"""Near copies by SimHash, then MinHash for those beyond its ball; every link is checked exactly.
+
+Every text is the set of its shingles. Texts with equal sets are one content. The SimHash
+fingerprints of the contents meet by ball hashing (see ``simhash.near_links``), and those at
+most ``RADIUS`` bits apart are linked where the exact similarity is high enough. Texts of
+similarity 0.8 are about ten bits apart, too far for a ball, so contents that share a band of
+MinHash values meet as well. A group is what links reach, so pairs within one group need no
+link of their own. Each member of a meeting is held against the ones that come first in
+``ELECTED`` orders, one common to all bands and the others different from band to band, which
+joins large groups of copies at a linear cost. Then every pair of a meeting that still lies in two
+groups is looked at: directly where such pairs are few for the meeting's size, and otherwise
+(pages of one template, say) by an exact prefix join of the members' shingles, rarest first. No
+pair of a meeting is left out.
 """
 
 from __future__ import annotations
@@ -24,15 +27,16 @@ from pyspark.sql import types as T
 
 from textquarry.llm.common import ASCII_LOWER, WORD, materialize, mix64, slices, text_of
 from textquarry.llm.components import connected_components
-from textquarry.llm.simhash import keep_one
+from textquarry.llm.simhash import keep_one, majority, near_links
 
 SHINGLE = 5
 MIN_JACCARD = 0.8
+RADIUS = 2
 # Two texts of similarity 0.8 share none of the bands with a chance of 5 in 100 000.
 BANDS, ROWS = 25, 5
 # Pairs in two groups that a meeting compares directly, per member; beyond that the prefix join takes over.
 DIRECT = 4
-ELECTED = 4
+ELECTED = 5
 SEED = 42
 
 _RANDOM = np.random.default_rng(SEED)
@@ -80,7 +84,7 @@ def _signed(values: list[int]) -> pa.Array:
 
 
 def _sketches(keyed: DataFrame) -> DataFrame:
-    """``doc_id, h1, h2, content, bands`` for every row."""
+    """``doc_id, h1, h2, content, fp, bands`` for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -89,15 +93,17 @@ def _sketches(keyed: DataFrame) -> DataFrame:
                 [
                     *[part.column(c) for c in ("doc_id", "h1", "h2")],
                     _signed([content_of(s) for s in sets]),
+                    _signed([majority(s) for s in sets]),
                     pa.array([bands(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "h1", "h2", "content", "bands"],
+                names=["doc_id", "h1", "h2", "content", "fp", "bands"],
             )
 
     schema = T.StructType(
         [
             *[keyed.schema[c] for c in ("doc_id", "h1", "h2")],
             T.StructField("content", T.LongType()),
+            T.StructField("fp", T.LongType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
         ]
     )
@@ -133,6 +139,20 @@ def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.where(short >= least * long).select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
 
 
+def ball_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``a, b``: contents whose fingerprints meet in a ball.
+
+    ``prints`` has ``content, fp``. The least content of a fingerprint stands for it: the other
+    contents of the fingerprint are held against it, and it against those of near fingerprints.
+    """
+    first = materialize(prints.groupBy("fp").agg(F.min("content").alias("_first")), "fingerprints")
+    same = prints.join(first, "fp").select("content", F.col("_first").alias("other"))
+    named = [first.select(F.col("fp").alias(c), F.col("_first").alias(f"_{c}")) for c in ("a", "b")]
+    near = near_links(first.select("fp"), radius).join(named[0], "a").join(named[1], "b").select("_a", "_b")
+    pairs = same.where(F.col("content") != F.col("other")).union(near)
+    return pairs.select(F.greatest("content", "other").alias("a"), F.least("content", "other").alias("b")).distinct()
+
+
 def _elected(met: DataFrame, salts: list[Column]) -> DataFrame:
     """``a, b``: each member of a meeting with those that come first in the salted orders."""
     firsts = met.groupBy("meeting").agg(
@@ -225,9 +245,10 @@ def _apart(met: DataFrame, component: DataFrame, sets: DataFrame, least: float)
 def keep_one_per_copy(docs: DataFrame, least: float = MIN_JACCARD) -> DataFrame:
     """One row of ``docs`` for each group of near copies (see ``keep_one``).
 
-    A group is what links between texts of similarity ``least`` or more reach. Every pair that
-    meets in a band is linked if it is that similar; two texts of similarity 0.8 meet in no
-    band with a chance of 5 in 100 000. NULL, empty and blank texts are copies of each other.
+    A group is what links between texts of similarity ``least`` or more reach. Texts meet by their
+    SimHash fingerprints, and every pair that meets in a band is linked if it is that similar;
+    two texts of similarity 0.8 meet in no band with a chance of 5 in 100 000. NULL, empty and
+    blank texts are copies of each other.
     """
     keyed = docs.select("doc_id", text_of("text").alias("text")).withColumns(
         {"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(SEED), "text")}
@@ -237,21 +258,23 @@ def keep_one_per_copy(docs: DataFrame, least: float = MIN_JACCARD) -> DataFrame:
     own_bands = rows.select("content", F.explode("bands").alias("meeting")).distinct()
     shared = own_bands.groupBy("meeting").count().where("count > 1").select("meeting")
     met = materialize(own_bands.join(shared, "meeting"), "meetings")
+    balls = materialize(ball_pairs(rows.where(F.size("bands") > 0).select("content", "fp").distinct()), "ball-pairs")
+    meeting = met.select("content").union(balls.select("a")).union(balls.select("b")).distinct()
     # One text of each content that meets another; contents first, as one may have very many rows.
     texts = rows.groupBy("content").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", "h1")).alias("_row")
     )
     texts = texts.select("content", F.col("_row.doc_id").alias("_id"), F.col("_row.h1").alias("_h1"))
-    texts = texts.join(met.select("content").distinct(), "content", "left_semi")
+    texts = texts.join(meeting, "content", "left_semi")
     of_row = (keyed["h1"] == texts["_h1"]) & keyed["doc_id"].eqNullSafe(texts["_id"])
     sets = materialize(_sets(keyed.join(texts, of_row)).dropDuplicates(["content"]), "shingle-sets")
 
-    links = materialize(_similar(_elected(met, [F.lit(0).cast("bigint")]), sets, least), "first-links")
-    component = materialize(connected_components(links), "first-components")
-    salts = [F.xxhash64("meeting", F.lit(k)) for k in range(ELECTED)]
+    links = materialize(_similar(balls, sets, least), "ball-links")
+    component = materialize(connected_components(links), "ball-components")
+    salts = [F.lit(0).cast("bigint"), *[F.xxhash64("meeting", F.lit(k)) for k in range(ELECTED - 1)]]
     others = materialize(_between_groups(_elected(met, salts), component), "elected")
-    links = links.union(materialize(_similar(others, sets, least), "second-links"))
-    component = materialize(connected_components(links), "second-components")
+    links = links.union(materialize(_similar(others, sets, least), "elected-links"))
+    component = materialize(connected_components(links), "elected-components")
     apart = materialize(_apart(met, component, sets, least), "apart")
     more = materialize(_similar(apart, sets, least), "more-links")
     component = materialize(connected_components(links.union(more)), "components")

@@ -28,6 +28,16 @@ BITS = 64
 SEED = 42
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes, as an unsigned number."""
+    ones = np.zeros(BITS, np.int64)
+    for start in range(0, len(hashes), 4096):  # a few hundred kB at a time, however long the text
+        block = np.ascontiguousarray(hashes[start : start + 4096].astype(">u8")).view(np.uint8)
+        ones += np.unpackbits(block.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    bits = np.packbits(ones * 2 > len(hashes))
+    return int.from_bytes(bits.tobytes(), "big")
+
+
 def fingerprint(text: str, shingle: int = 3) -> int:
     """The SimHash of a text's word shingles (repeats count) as an unsigned number."""
     words = WORD.findall(text.translate(ASCII_LOWER))
@@ -42,12 +52,7 @@ def fingerprint(text: str, shingle: int = 3) -> int:
         np.uint64,
         len(words) - width + 1,
     )
-    ones = np.zeros(BITS, np.int64)
-    for start in range(0, len(hashes), 4096):  # a few hundred kB at a time, however long the text
-        block = np.ascontiguousarray(hashes[start : start + 4096].astype(">u8")).view(np.uint8)
-        ones += np.unpackbits(block.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    bits = np.packbits(ones * 2 > len(hashes))
-    return int.from_bytes(bits.tobytes(), "big")
+    return majority(hashes)
 
 
 def fingerprints(
