@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from textquarry.functions.labels import step_number
 from textquarry.functions.text import n_words
+from textquarry.operators.joins import prefix_join
 from textquarry.operators.reference_lists import KNOWN_URL_PREFIXES, expand_prefixes
 from textquarry.operators.skew import lookup_by_frequency
+from textquarry.session import written
 
 
 def tag_rejects(df: DataFrame, keep: Column, reason: Column | str, into: str = "drop_reason") -> DataFrame:
@@ -102,36 +104,56 @@ def tag_robots(
     allows everything, otherwise the longest rule that fits the page's path and query
     decides (allowing wins a tie), where ``*`` and a last ``$`` have their usual
     meaning. A page that no rule fits is allowed, or dropped with ``must_allow``; a
-    host without rules is dropped. The rules of one host come from one small file and
-    become one row per host. Hosts with very many pages are looked up without
-    gathering their pages.
+    host without rules is dropped. Targets meet rules as equals or by prefix, so neither the
+    pages nor the rules of a host gather, however many they are.
     """
-    named = rules.withColumn("agent", F.lower("agent") if "agent" in rules.columns else F.lit("*"))
-    rule = F.struct(F.length("path").alias("n"), "allow", "path", "agent", rule_pattern(F.col("path")).alias("pattern"))
-    sites = named.groupBy(F.col("host").alias("_host")).agg(
-        F.bool_or("malformed").alias("_malformed"), F.collect_list(rule).alias("_rules")
-    )
-    own = F.filter("_rules", lambda r: r["agent"] == agent.lower())
-    common = F.filter("_rules", lambda r: r["agent"] == "*")
-    sites = sites.withColumn("_rules", F.when(F.size(own) > 0, own).otherwise(common))
-    hosted = df.withColumn("_host", url_host(F.col(url)))
-    pages = hosted.groupBy("_host").agg(F.count("*").alias("_n"))
-    # Hosts without rules too: their pages must not gather either.
-    known = pages.join(sites.withColumn("_site", F.col("_host")), "_host", "left")
-    joined = lookup_by_frequency(hosted, known, "_host", "_n", [url])
     target = url_target(F.col(url))
+    asking = df.withColumn("_host", url_host(F.col(url))).withColumn("_ask", F.concat("_host", F.lit("\n"), target))
+    asks = asking.where("_ask IS NOT NULL").groupBy("_ask").agg(F.first("_host").alias("_host"), F.count("*").alias("_n"))
+    asks = written(asks.withColumn("_target", F.expr("substr(_ask, length(_host) + 2)")), "crawl-targets")
 
-    def fits(r: Column) -> Column:
-        wild = F.contains(r["path"], F.lit("*")) | F.endswith(r["path"], F.lit("$"))
-        return F.when(wild, F.rlike(target, r["pattern"])).otherwise(F.startswith(target, r["path"]))
-
-    decided = F.array_max(F.transform(F.filter("_rules", fits), lambda r: F.struct(r["n"], r["allow"])))
+    named = rules.withColumn("agent", F.lower("agent") if "agent" in rules.columns else F.lit("*"))
+    is_own = F.col("agent") == agent.lower()
+    named = written(
+        named.select(
+            F.col("host").alias("_host"), "path", "allow", "malformed", is_own.alias("_own"), (F.col("agent") == "*").alias("_common")
+        ),
+        "crawl-rules",
+    )
+    sites = named.groupBy("_host").agg(
+        F.bool_or("malformed").alias("_malformed"), F.bool_or("_own").alias("_has_own"), F.count("*").alias("_rules")
+    )
+    chosen = lookup_by_frequency(named.drop("malformed"), sites, "_host", "_rules", ["path"])
+    chosen = chosen.where(F.when(F.col("_has_own"), F.col("_own")).otherwise(F.col("_common")))
+    wild, ended = F.contains("path", F.lit("*")), F.endswith("path", F.lit("$"))
+    rule = F.struct(F.length("path").alias("n"), "allow")
+    ruled = chosen.select(
+        "_host", "path", rule.alias("_rule"), wild.alias("_wild"), (ended & ~wild).alias("_exact"),
+        F.concat("_host", F.lit("\n"), F.substring_index("path", "*", 1)).alias("_start"),
+    )
+    # A rule for one target is an equal of it; any other is found by what stands before its first ``*``.
+    exact = ruled.where("_exact").groupBy(F.expr("substr(_start, 1, length(_start) - 1)").alias("_ask")).agg(F.max("_rule").alias("_rule"))
+    pattern = F.when(F.col("_wild"), rule_pattern(F.col("path")))
+    begun = ruled.where("NOT _exact").groupBy("_start").agg(F.collect_set(F.struct("_rule", pattern.alias("pattern"))).alias("_rules"))
+    met = prefix_join(asks.select("_ask", "_target", F.struct("_ask", "_target").alias("_page")), begun, "_page", "_ask", "_start")
+    fitting = met.select(F.col("_page._ask").alias("_ask"), F.col("_page._target").alias("_target"), F.explode("_rules").alias("_r"))
+    fitting = fitting.where(F.col("_r.pattern").isNull() | F.rlike("_target", F.col("_r.pattern")))
+    fits = exact.unionByName(fitting.select("_ask", F.col("_r._rule").alias("_rule")))
+    decided = fits.groupBy("_ask").agg(F.max("_rule")["allow"].alias("_allow"))
+
+    pages = asks.groupBy("_host").agg(F.count("*").alias("_pages"))
+    known = sites.select("_host", "_malformed", F.lit(True).alias("_site")).join(pages, "_host")
+    placed = lookup_by_frequency(asks, known, "_host", "_pages", ["_ask"]).join(decided, "_ask", "left")
     reason = (
         F.when(F.col("_site").isNull(), F.lit("robots:unknown_host"))
         .when(F.col("_malformed"), F.lit(None).cast("string"))
-        .when(~F.coalesce(decided["allow"], F.lit(not must_allow)), F.lit("robots:disallowed"))
+        .when(~F.coalesce("_allow", F.lit(not must_allow)), F.lit("robots:disallowed"))
     )
-    return joined.withColumn("drop_reason", reason).drop("_host", "_n", "_site", "_malformed", "_rules")
+    answers = placed.select("_ask", "_n", reason.alias("_reason"), F.lit(True).alias("_answered"))
+    joined = lookup_by_frequency(asking, answers, "_ask", "_n", [url])
+    # A page without an address has no host.
+    told = F.when(F.col("_answered"), F.col("_reason")).otherwise(F.lit("robots:unknown_host"))
+    return joined.withColumn("drop_reason", told).drop("_host", "_ask", "_n", "_reason", "_answered")
 
 
 def filter_quality(df: DataFrame, score: str, above: float = 0.5) -> DataFrame:
