@@ -10,6 +10,7 @@ recomputed or when the two branches of the plan are evaluated separately.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -47,6 +48,18 @@ def _bounds(df: DataFrame, keys: list[str], rows: int, ranges: int) -> list[tupl
     return [sample[c] for c in cuts]
 
 
+def _literal(types: list[T.DataType], bounds: list[tuple]) -> Column | None:
+    """The bounds as one constant instead of an expression for each value, where JSON holds the types as they are."""
+    plain = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType, T.StringType, T.BooleanType)
+    if not all(isinstance(t, plain) for t in types):
+        return None
+    if any(isinstance(v, float) and not math.isfinite(v) for bound in bounds for v in bound):
+        return None
+    text = json.dumps([{f"k{i}": v for i, v in enumerate(bound)} for bound in bounds])
+    schema = T.ArrayType(T.StructType([T.StructField(f"k{i}", t) for i, t in enumerate(types)]))
+    return F.from_json(F.lit(text), schema)
+
+
 def range_number(df: DataFrame, keys: list[str], bounds: list[tuple]) -> Column:
     """How many bounds lie below the row's key, by binary search in a literal array."""
     if not bounds:
@@ -56,7 +69,9 @@ def range_number(df: DataFrame, keys: list[str], bounds: list[tuple]) -> Column:
     def packed(values: list[Column]) -> Column:
         return F.struct(*[v.cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(values, types))])
 
-    edges = F.array(*[packed([F.lit(v) for v in bound]) for bound in bounds])
+    edges = _literal(types, bounds)
+    if edges is None:
+        edges = F.array(*[packed([F.lit(v) for v in bound]) for bound in bounds])
     key = packed([F.col(k) for k in keys])
     steps = [2**p for p in range(int(math.log2(len(bounds))), -1, -1)]
     return F.aggregate(

@@ -247,7 +247,7 @@ def epoch_order(df: DataFrame, key: str, n: int, seed: int = 42, rows_per_range:
         return df.select(key, F.lit(0).alias("epoch"), F.lit(0).cast("bigint").alias("position")).limit(0)
     epochs = -(-n // size)
     drawn = df.select(key, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
-    drawn = drawn.withColumn("_u", uniform(key, "epoch", seed=seed))
+    drawn = written(drawn.withColumn("_u", uniform(key, "epoch", seed=seed)), "drawn")
     return numbered(drawn, ["epoch", "_u", key], "position", rows_per_range=rows_per_range).where(
         F.col("position") <= n
     ).drop("_u")

@@ -12,6 +12,7 @@ from textquarry.operators import windows as X
 from textquarry.operators.ordering import numbered
 from textquarry.plans.registry import query
 from textquarry.plans.sqlbits import n_words, uniform
+from textquarry.session import written
 
 
 @query(
@@ -226,7 +227,7 @@ def numeric_file_order(t):
         # Names that do not match sort last.
         return F.coalesce(F.regexp_extract("file", pattern, i).try_cast("bigint"), F.lit(2**62))
 
-    keyed = files.withColumns({"_a": part(1), "_b": part(2)})
+    keyed = written(files.withColumns({"_a": part(1), "_b": part(2)}), "files")
     return numbered(keyed, ["_a", "_b", "file"], "position", rows_per_range=20_000).select("file", "position")
 
 
