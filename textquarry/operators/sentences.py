@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textquarry.functions.text import sentences
-from textquarry.operators.skew import lookup_by_frequency
+from textquarry.operators.skew import lookup_head_first
+from textquarry.session import written
 
 # How surely a period follows an abbreviation, and the score from which a word is one.
 SURE = 0.99
@@ -30,13 +31,15 @@ def period_counts(df: DataFrame, text: str = "text") -> DataFrame:
     The score is the log-likelihood ratio of Kiss and Strunk: how much better a period that
     nearly always follows explains the counts than the share of words with a period in all
     texts does, for short words more than for long ones, for inner periods, and against
-    each time the word stands without one. Counts are summed in each task first.
+    each time the word stands without one. Equal tokens are counted before they are
+    taken apart, in each task first.
     """
-    tokens = df.select(F.explode(F.split(text, r"\s+")).alias("token")).select(_bare(F.col("token")).alias("bare"))
-    seen = tokens.where("bare != ''").select(_kind(F.col("bare")).alias("word"), F.endswith("bare", F.lit(".")).alias("dot"))
-    counts = seen.groupBy("word").agg(
-        F.count_if("dot").alias("with_period"), F.count_if(~F.col("dot")).alias("without_period")
-    )
+    tokens = df.select(F.explode(F.split(text, r"\s+")).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    bare = tokens.select(_bare(F.col("token")).alias("bare"), "n").where("bare != ''")
+    seen = bare.select(_kind(F.col("bare")).alias("word"), F.endswith("bare", F.lit(".")).alias("dot"), "n")
+    of = {"with_period": F.col("dot"), "without_period": ~F.col("dot")}
+    counts = seen.groupBy("word").agg(*[F.sum(F.when(c, F.col("n")).otherwise(0)).alias(name) for name, c in of.items()])
+    counts = written(counts, "period-counts")
     # One row.
     totals = counts.agg(F.sum("with_period").alias("_dots"), F.sum(F.col("with_period") + F.col("without_period")).alias("_all"))
     k, rest = F.col("with_period"), F.col("without_period")
@@ -63,9 +66,11 @@ def split_sentences(df: DataFrame, short: DataFrame, key: str = "doc_id", text:
     blank. The key must be unique. A NULL text has no sentences, an empty one an empty sentence.
     """
     parts = df.select(key, F.posexplode(sentences(F.col(text))).alias("_part", "_said"))
-    word = _kind(_bare(F.regexp_extract("_said", r"(\S+)\.$", 1)))
-    asked = parts.withColumn("_word", F.nullif(word, F.lit("")))
-    marked = lookup_by_frequency(asked, short.select("word", "n").withColumnRenamed("word", "_word"), "_word", "n", [key, "_part"])
+    # Read backwards, so that only the last word is looked at.
+    last = F.reverse(F.regexp_extract(F.reverse("_said"), r"^\.(\S+)", 1))
+    asked = parts.withColumn("_word", F.nullif(_kind(_bare(last)), F.lit("")))
+    listed = written(short.select(F.col("word").alias("_word"), "n"), "abbreviations")
+    marked = lookup_head_first(asked, listed, "_word", "n", [key, "_part"])
     goes_on = F.coalesce(F.col("n").isNotNull() | F.col("_word").rlike(r"^\p{L}$"), F.lit(False))
     # One text is one window.
     before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

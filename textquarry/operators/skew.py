@@ -73,3 +73,21 @@ def split_by_frequency(table: DataFrame, frequency: str, head_rows: int = HEAD_R
     inside = F.lit(False) if least is None else F.coalesce(F.col(frequency) >= least, F.lit(False))
     return table.where(inside), table.where(~inside)
 
+
+def lookup_head_first(
+    left: DataFrame, right: DataFrame, key: str, frequency: str, spread_by: list[str], head_rows: int = HEAD_ROWS
+) -> DataFrame:
+    """``lookup_by_frequency`` that shuffles only what the most frequent rows of ``right`` don't answer.
+
+    At most ``head_rows`` rows of ``right`` are broadcast; where that is the whole table nothing is
+    shuffled. ``left`` is read twice otherwise.
+    """
+    columns = [c for c in right.columns if c != key]
+    head, tail = split_by_frequency(right, frequency, head_rows)
+    packed = F.struct(*columns).alias("_hv")
+    first = left.join(F.broadcast(head.select(F.col(key).alias("_hk"), packed)), F.col(key) == F.col("_hk"), "left")
+    answered = [*left.columns, *[F.col(f"_hv.{c}").alias(c) for c in columns]]
+    if tail.isEmpty():
+        return first.select(*answered)
+    rest = first.where("_hk IS NULL").select(*left.columns)
+    return first.where("_hk IS NOT NULL").select(*answered).unionByName(lookup_by_frequency(rest, tail, key, frequency, spread_by))
