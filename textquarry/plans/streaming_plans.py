@@ -21,7 +21,9 @@ from textquarry.streaming import documents as X
 )
 def stream_documents(t):
     source, out, mark = (scratch_path(t.spark, x) for x in ("arriving", "clean", "progress"))
-    t.documents.repartition(4, "doc_id").select("doc_id", "lang", "text").write.json(source)
+    # As many files as the table has splits, so that no task gets more of a larger table.
+    files = max(4, t.documents.rdd.getNumPartitions())
+    t.documents.repartition(files, "doc_id").select("doc_id", "lang", "text").write.json(source)
     stream = X.stream_documents(t.spark, source, "doc_id bigint, lang string, text string", files_per_batch=2)
     clean = X.compose(stream, [filter_min_words, mask_pii])
     X.run_to_parquet(clean.select("doc_id", "lang", F.md5("text").alias("digest")), out, mark)
