@@ -81,3 +81,27 @@ def test_streamed_files_grow_with_the_table(spark, monkeypatch, tmp_path):
     tables = type("Tables", (), {"spark": spark, "documents": spark.createDataFrame(rows, "doc_id bigint, lang string, text string").repartition(9)})
     assert streaming_plans.stream_documents(tables).count() == 200
     assert len(list(tmp_path.glob("arriving0/*.json"))) == 9
+
+
+def test_components_of_few_edges_run_in_few_tasks(spark):
+    """A table of few edges doesn't cost as many tasks a step as the session shuffles to."""
+    from textquarry.llm.components import connected_components
+
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "61")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    group = "few-edges"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (102, 102), (None, 3)]
+        found = connected_components(spark.createDataFrame(chain, "a bigint, b bigint"))
+        got = {r["node"]: r["component"] for r in found.collect()}
+        tracker = spark.sparkContext.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+        tasks = sum(i.numTasks for s in stages if (i := tracker.getStageInfo(s)))
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+    assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+    assert tasks < 1500, tasks

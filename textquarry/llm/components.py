@@ -3,7 +3,9 @@
 Every round is two joins of the edges with one minimum per node, so a node with very
 many neighbours is an aggregate with a map-side step and a join that adaptive
 execution may split; nothing is gathered per component or on the driver. Each round is
-written to the shared folder.
+written to the shared folder. Rounds end as soon as every component is a star, which one
+aggregate over the nodes tells. A table of few edges is worked on by few tasks: the driver keeps
+a record of every task, so hundreds of empty ones a step cost more than the edges.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 from textquarry.llm.common import materialize
 
 MAX_ROUNDS = 100
+# Up to so many edges one task for each ``EDGES_PER_TASK``; beyond that as many as the session shuffles to.
+FEW_EDGES, EDGES_PER_TASK = 1_000_000, 50_000
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,10 +42,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.union(own).where(F.col("a") != F.col("b")).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    """A number of edges and a checksum that doesn't depend on their order."""
-    digest = F.xxhash64("a", "b").cast("decimal(20,0)")
-    return tuple(edges.agg(F.count("*"), F.sum(digest)).first())
+def _shape(edges: DataFrame) -> tuple[int, bool]:
+    """The number of edges, and whether every component is a star around its smallest node."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("root"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
+    row = nodes.agg(F.sum("up"), F.count_if((F.col("up") > 1) | (F.col("up") + F.col("root") > 1))).first()
+    return row[0] or 0, not row[1]
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -55,14 +62,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     current = materialize(
         links.where(F.col("a") != F.col("b")).select(larger.alias("a"), smaller.alias("b")).distinct(), "edges"
     )
-    state = _state(current)
+
+    def fitted(df: DataFrame) -> DataFrame:
+        return df.coalesce(1 + count // EDGES_PER_TASK) if count <= FEW_EDGES else df
+
     for _ in range(MAX_ROUNDS):
-        if not state[0]:
-            break
-        current = materialize(_small_star(materialize(_large_star(current), "large-star")), "small-star")
-        before, state = state, _state(current)
-        if state == before:
+        count, settled = _shape(current)
+        if settled:
             break
+        larger_linked = materialize(fitted(_large_star(fitted(current))), "large-star")
+        current = materialize(fitted(_small_star(fitted(larger_linked))), "small-star")
     else:
         raise RuntimeError(f"components have not settled after {MAX_ROUNDS} rounds")
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

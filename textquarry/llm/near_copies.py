@@ -173,6 +173,19 @@ def _between_groups(pairs: DataFrame, component: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
 
 
+def _merged(component: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, component`` after ``links a, b`` between different groups: only the groups are joined anew."""
+    named = [component.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")) for c in ("a", "b")]
+    between = links.join(named[0], "a", "left").join(named[1], "b", "left")
+    groups = materialize(
+        connected_components(between.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))), "merged"
+    )
+    above = groups.select(F.col("node").alias("component"), F.col("component").alias("_above"))
+    known = component.join(above, "component", "left").select("node", F.coalesce("_above", "component").alias("component"))
+    # A content without a link so far has its own name and no row in ``component``.
+    return known.union(groups.join(component, "node", "left_anti"))
+
+
 def _pairs(left: DataFrame, right: DataFrame, key: str, fits: Column) -> DataFrame:
     """``a, b`` of the different groups that ``key`` brings together and ``fits`` lets through."""
     apart = (F.col("l._group") != F.col("r._group")) & (F.col(f"l.{key}") == F.col(f"r.{key}"))
@@ -270,14 +283,15 @@ def keep_one_per_copy(docs: DataFrame, least: float = MIN_JACCARD) -> DataFrame:
     sets = materialize(_sets(keyed.join(texts, of_row)).dropDuplicates(["content"]), "shingle-sets")
 
     links = materialize(_similar(balls, sets, least), "ball-links")
-    component = materialize(connected_components(links), "ball-components")
+    # What a link leads to is group enough to leave out pairs that are joined already.
+    near = materialize(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")), "ball-groups")
     salts = [F.lit(0).cast("bigint"), *[F.xxhash64("meeting", F.lit(k)) for k in range(ELECTED - 1)]]
-    others = materialize(_between_groups(_elected(met, salts), component), "elected")
+    others = materialize(_between_groups(_elected(met, salts), near), "elected")
     links = links.union(materialize(_similar(others, sets, least), "elected-links"))
     component = materialize(connected_components(links), "elected-components")
     apart = materialize(_apart(met, component, sets, least), "apart")
     more = materialize(_similar(apart, sets, least), "more-links")
-    component = materialize(connected_components(links.union(more)), "components")
+    component = materialize(_merged(component, more), "components")
     groups = rows.select("doc_id", "h1", "h2", "content").join(
         component.withColumnRenamed("node", "content"), "content", "left"
     )
