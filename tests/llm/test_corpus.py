@@ -660,3 +660,23 @@ def test_pipeline_on_odd_rows(spark, make_docs, odd_rows):
             out = stage(spark, table, FOLDER)
             assert name == "packing" or out.columns == docs.columns
             out.count()
+
+
+def test_bins_are_filled_exactly_while_pieces_last():
+    """Best fit misses the bound on tables of very many pieces, where no search gets to its early choices."""
+    rng = random.Random(1)
+    counts = {n: 1 + int(rng.random() * 120_000 / (n + 400)) for n in range(1, 2049)}
+    bound = packing.lower_bound(counts, 2048)
+    assert sum(f.bins for f in packing.best_fit_decreasing(counts, 2048)) > bound
+    assert check_plan(packing.bin_completion(counts, 2048, max_nodes=0), counts, 2048) == bound
+    for seed in range(30):
+        rng = random.Random(seed)
+        counts = {rng.randint(1, 60): rng.randint(1, 9) for _ in range(rng.randint(1, 25))}
+        check_plan(packing.least_waste(counts, 60), counts, 60)
+
+
+def test_words_go_straight_to_the_merges():
+    words = packing.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    every = ["".join(map(chr, range(i, i + 8))) for i in range(0, 256, 8)] + ["'ll", "don't", "résumé", "x²½"]
+    got = words.encode_batch(every)
+    assert [g.tolist() for g in got] == [words.tokenizer.encode(t, add_special_tokens=False).ids for t in every]

@@ -4,7 +4,8 @@ Documents are tokenized and cut once, in Spark. How many pieces there are of eac
 is a table of at most ``capacity`` rows, and it alone decides the packing: bin completion
 takes the longest length that is left, enumerates the undominated fillings of the rest
 of its bin, and branches on the filling and on how many bins get it, most of them first. The
-best-fit-decreasing packing is the first incumbent; a branch ends when the space it has
+best-fit-decreasing packing is the first incumbent, or where that misses the lower bound one that fills
+bins exactly as long as it can, if it is better; a branch ends when the space it has
 wasted, or its lower bound, shows that it cannot beat the incumbent, or when as few bins have
 led to the same pieces left before. Nothing is left out of the enumeration, so a search that
 ends by itself is optimal; one that spends its branches or steps keeps the incumbent. Pieces then find
@@ -17,6 +18,7 @@ import hashlib
 import itertools
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,6 +52,14 @@ _WORDS = re.compile(
 )
 
 
+# The vocabulary is over bytes, each written as a character: printable ones as themselves, the others from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OF_BYTE = {b: chr(b) for b in _PRINTABLE} | {
+    b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)
+}
+_BYTES = {c: "".join(_OF_BYTE[b] for b in chr(c).encode()) for c in range(256) if _OF_BYTE.get(c) != chr(c) or c > 126}
+
+
 class WordTokenizer:
     """Token ids of whole texts, remembering the ids of words it has seen.
 
@@ -60,11 +70,12 @@ class WordTokenizer:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        vocabulary = self.tokenizer.get_vocab()
-        # Every word ends in a token of its own kind, and no other token has this ending.
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        probe = "the 'll don't r\xe9sum\xe9 \xe6\xff\xdf x2\xb2 \xa3\xa7 \x00\x1c\x7f\xad ~!"
+        alone = b"".join(map(self._coded, _WORDS.findall(probe)))
+        if alone != self._whole(probe).tobytes():
+            raise ValueError("the vocabulary does not split texts as expected")
         # Two generations: a word that is met again while it is old becomes young.
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -72,6 +83,11 @@ class WordTokenizer:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def _coded(self, word: str) -> bytes:
+        """The ids of one lower-case Latin-1 word: straight from the merges, as it needs no splitting."""
+        word = word if word.isascii() and word.isprintable() else word.translate(_BYTES)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
     def _learn(self, words: set[str]) -> None:
         if len(self.young) > CACHED_WORDS:
             self.old, self.young = self.young, {}
@@ -84,14 +100,8 @@ class WordTokenizer:
                 self.young[word] = coded
         if not new:
             return
-        ids = self._whole(" ".join(new))
-        cuts = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(cuts) != len(new):
-            raise ValueError("the vocabulary does not end words as expected")
-        coded, start = ids.tobytes(), 0
-        for word, cut in zip(new, (cuts * ids.itemsize).tolist()):
-            self.young[word] = coded[start:cut]
-            start = cut
+        for word in new:
+            self.young[word] = self._coded(word)
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         split: list[list[str] | None] = []
@@ -219,6 +229,79 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[Filling]:
     return [Filling(bins, parts) for groups in open_bins.values() for bins, parts in groups]
 
 
+def _exact(left: dict[int, int], mask: int, mirror: int, room: int, capacity: int, most: int) -> tuple | None:
+    """At most ``most`` pieces that are left and fill ``room`` exactly, longest first, or ``None``.
+
+    Bit ``n`` of ``mask`` and bit ``capacity - n`` of ``mirror`` say that length ``n`` is left.
+    """
+    if mask >> room & 1:
+        return (room,)
+    if most == 1:
+        return None
+    below = (1 << room) - 1
+    if most == 2:
+        both = mask & (mirror >> (capacity - room)) & below
+        n = both.bit_length() - 1
+        if n * 2 == room and left[n] < 2:
+            return None
+        return (n, room - n) if n > 0 else None
+    rest = mask & below
+    while rest:
+        n = rest.bit_length() - 1
+        if n * most < room:
+            return None
+        rest ^= 1 << n
+        more = _exact(left, mask, mirror, room - n, capacity, most - 1)
+        if more and all(left[k] >= (n, *more).count(k) for k in (n, *more)):
+            return (n, *more)
+    return None
+
+
+def least_waste(counts: dict[int, int], capacity: int) -> list[Filling]:
+    """Bin after bin the longest piece and what wastes the least of the rest, with few and long pieces.
+
+    Best fit decides piece by piece and wastes a little in very many bins; here a bin is filled exactly
+    as long as there are pieces for that, so only the last bins waste.
+    """
+    left, plan = dict(counts), []
+    mask = sum(1 << n for n in left)
+    mirror = sum(1 << (capacity - n) for n in left)
+
+    def gone(n: int) -> None:
+        nonlocal mask, mirror
+        if not left[n]:
+            mask &= ~(1 << n)
+            mirror &= ~(1 << (capacity - n))
+
+    while mask:
+        room, uses = capacity, {}
+        while room and (fits := mask & ((1 << (room + 1)) - 1)):
+            n = fits.bit_length() - 1
+            if uses and room <= 3 * n + 3:
+                break
+            # The longest piece, and more of them while three can't fill the rest.
+            take = 1 if not uses else max(1, min(left[n], (room - 3 * n) // n))
+            uses[n] = uses.get(n, 0) + take
+            left[n] -= take
+            gone(n)
+            room -= take * n
+        fits = mask & ((1 << (room + 1)) - 1)
+        fill = None
+        for target in range(room if fits else 0, 0, -1):
+            if fill := _exact(left, mask, mirror, target, capacity, 3):
+                break
+        for n in fill or ():
+            uses[n] = uses.get(n, 0) + 1
+            left[n] -= 1
+            gone(n)
+        more = min(left[n] // k for n, k in uses.items())
+        for n, k in uses.items():
+            left[n] -= more * k
+            gone(n)
+        plan.append(Filling(1 + more, tuple(sorted(uses.items(), reverse=True))))
+    return plan
+
+
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
     """Martello and Toth's bound: total length, and pieces that can't share a bin."""
     if not counts:
@@ -338,8 +421,10 @@ def bin_completion(
     counts = {n: c for n, c in counts.items() if c}
     if any(not 0 < n <= capacity for n in counts):
         raise ValueError(f"lengths must be from 1 to {capacity}")
-    incumbent = best_fit_decreasing(counts, capacity)
-    fewest, bound = sum(f.bins for f in incumbent), lower_bound(counts, capacity)
+    incumbent, bound = best_fit_decreasing(counts, capacity), lower_bound(counts, capacity)
+    if counts and sum(f.bins for f in incumbent) > bound:
+        incumbent = min(incumbent, least_waste(counts, capacity), key=lambda plan: sum(f.bins for f in plan))
+    fewest = sum(f.bins for f in incumbent)
     total = sum(n * c for n, c in counts.items())
     budget = Budget(max_nodes, max_steps)
     seen: dict[bytes, int] = {}
